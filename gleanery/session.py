@@ -64,7 +64,7 @@ def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if estimate >= cores * split:
         return df
     return df.repartition(cores, *keys)
