@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.session import spread_small
+
 RUN_TS = datetime(2024, 1, 31)
 
 
@@ -114,5 +116,5 @@ def corpus_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_text_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Each document as a ``.txt`` file of its own in nested folders. The writer ends a file with a line feed."""
-    rows = table(spark, sf_dir, "documents").select("text", "lang", "source")
-    rows.write.partitionBy("lang", "source").option("maxRecordsPerFile", 1).text(path)
+    rows = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    rows.drop("doc_id").write.partitionBy("lang", "source").option("maxRecordsPerFile", 1).text(path)

@@ -159,7 +159,7 @@ def knn_top3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_vectors(spread_small(silver_chunks(i.bronze(spark, sf_dir)), "chunk_id"))
+    return gold_vectors(silver_chunks(i.bronze(spark, sf_dir)))
 
 
 def _document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
