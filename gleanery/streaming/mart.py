@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanery.operators.mart import MART_COLUMNS, mart_measures
 from gleanery.sinks.tables import TableStore
+from gleanery.streaming.batches import publish_batches
 
 
 def windowed_mart(telemetry: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -21,18 +22,8 @@ def windowed_mart(telemetry: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 def publish_mart(telemetry: DataFrame, store: TableStore, table: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:
     """Republish the whole mart after each micro-batch. It has one row per day, so this stays small."""
-
-    def publish(mart: DataFrame, batch: int) -> None:
-        store.replace(mart, table, f"batch-{batch}")
-
-    return (
-        windowed_mart(telemetry, lateness)
-        .writeStream.outputMode("complete")
-        .foreachBatch(publish)
-        .trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+    mart = windowed_mart(telemetry, lateness).writeStream.outputMode("complete")
+    return publish_batches(mart, store.replace, store, table, checkpoint)
 
 
 def append_closed_days(telemetry: DataFrame, path: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:

@@ -8,8 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanery.operators.telemetry import derive_telemetry
 from gleanery.sinks.tables import TableStore
-
-REJECTS = "telemetry_rejects"
+from gleanery.streaming.batches import publish_batches
 
 
 def accepted_telemetry(responses: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -36,15 +35,5 @@ def write_files(stream: DataFrame, path: str, checkpoint: str, by_day_of: str |
 
 
 def publish_stream(stream: DataFrame, store: TableStore, table: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch to a published table. The batch number names the version, so a batch that
-    is replayed after a failure is published once."""
-
-    def publish(rows: DataFrame, batch: int) -> None:
-        store.append(rows, table, f"batch-{batch}")
-
-    return (
-        stream.writeStream.foreachBatch(publish)
-        .trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+    """Append each micro-batch to a published table, once even if the batch is replayed."""
+    return publish_batches(stream.writeStream.outputMode("append"), store.append, store, table, checkpoint)
