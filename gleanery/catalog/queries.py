@@ -155,7 +155,7 @@ def knn_lsh_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def knn_top3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = chunk_hits(i.questions(spark, sf_dir), _gold(spark, sf_dir))
-    return hits.select(F.col("query_id").alias("query"), "rank", F.col("id").alias("chunk_id"), "file_path", "chunk_text", "score")
+    return hits.select("query_id", "rank", F.col("id").alias("chunk_id"), "file_path", "chunk_text", "score")
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
