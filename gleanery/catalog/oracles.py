@@ -155,6 +155,11 @@ _EVENT_TELEMETRY = """SELECT event_id AS request_id, ts AS execution_timestamp,
     FROM (SELECT *, (props::JSON ->> '$.k')::BIGINT AS k FROM events)"""
 ORACLES["mart_agent_runs"] = f"WITH telemetry AS ({_EVENT_TELEMETRY}) {_MART}"
 
+ORACLES["mart_from_log"] = f"""WITH telemetry AS (SELECT *, {_COST} AS total_cost_usd FROM (
+    SELECT request_id, ts AS execution_timestamp, value AS execution_time_ms, NULL::DOUBLE AS vector_similarity_score,
+    prompt_tokens, completion_tokens, 200 AS status_code
+    FROM ({_TOKENS}) JOIN events ON event_id = split_part(request_id, '-', 1)::BIGINT)) {_MART}"""
+
 # --- quality
 
 
@@ -200,6 +205,14 @@ ORACLES["dq_mart"] = _union(
     *(_check("mart", "not_null", c, f"{c} IS NULL", _EVENT_MART) for c in ("run_date", "total_agent_queries", "total_spend_usd")),
     _unique("mart", "run_date", _EVENT_MART),
 )
+_ANSWERED = f"SELECT * FROM ({_REQUESTS}) WHERE query != ''"
+ORACLES["dq_responses"] = _union(
+    _check("response", "not_null", "query", "query IS NULL", _ANSWERED),
+    _check("response", "not_null", "current_step", "false", _ANSWERED),
+    _check("response", "not_null", "retrieved_docs", "false", _ANSWERED),
+    _check("response", "complete", "retrieved_docs", "false", _ANSWERED),
+    _unique("response", "request_id", _ANSWERED),
+)
 ORACLES["dq_unique"] = f"""SELECT "check", "column", failed, total FROM ({_unique("-", "text", "FROM documents")})"""
 ORACLES["dq_report"] = _union(
     _check("bronze", "not_null", "file_path", "file_path IS NULL", _BRONZE),
@@ -217,6 +230,13 @@ ORACLES["vector_upsert"] = """WITH winners AS (
 SELECT doc_id, written, label AS category, embedding[1]::DOUBLE AS first_value FROM winners
 UNION ALL
 SELECT vec_id, -1, label, embedding[1]::DOUBLE FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM winners)"""
+# The second hand-over: German ids come from the content, French content is missing.
+_SECOND = """SELECT CASE WHEN lang = 'de' THEN 'doc_' || md5(text || ' (revised)') ELSE doc_id::VARCHAR END AS doc_id,
+    CASE WHEN lang = 'en' THEN 'general' ELSE lang END AS category, md5(text || ' (revised)') AS content_hash
+    FROM documents WHERE lang != 'fr'"""
+ORACLES["document_index"] = f"""WITH second AS (SELECT DISTINCT * FROM ({_SECOND}))
+SELECT doc_id, category, content_hash, 384 AS dim FROM second
+UNION ALL SELECT doc_id::VARCHAR, lang, md5(text), 384 FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT doc_id FROM second)"""
 ORACLES["index_sync_delta"] = """SELECT doc_id, lang, md5(text) AS content_hash FROM documents WHERE lang IN ('de', 'fr')"""
 ORACLES["compaction"] = "SELECT doc_id, lang, md5(text) AS content_hash FROM documents"
 ORACLES["sink_schema_evolution"] = """SELECT doc_id, lang, CASE WHEN lang != 'en' THEN n_chars END AS n_chars FROM documents"""

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.catalog import inputs as i
 from gleanery.functions.vectors import cosine, vector_as_strings
-from gleanery.operators.answers import analysis_text, retrieved_docs, with_payload
+from gleanery.operators.answers import DOCS_TYPE, analysis_text, retrieved_docs, with_payload
 from gleanery.operators.chunking import explode_chunks, silver_chunks
 from gleanery.operators.embedding import embed, gold_vectors
 from gleanery.operators.mart import daily_mart, latest_first
-from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, silver_suite, unique_check
+from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, response_suite, silver_suite, unique_check
 from gleanery.operators.requests import accept_requests, reject_requests
 from gleanery.operators.search import auto_bits, knn, knn_lsh
 from gleanery.operators.telemetry import completion_tokens, cost_usd, derive_telemetry, latency_ms, prompt_tokens
+from gleanery.plans.document_index import DOCUMENT_VECTORS, ingest_documents
 from gleanery.plans.medallion import (
     BRONZE,
     GOLD,
@@ -28,8 +30,10 @@ from gleanery.plans.medallion import (
     bronze_suite,
     ingest_bronze,
     nightly,
+    rebuild_mart,
 )
 from gleanery.plans.question_answering import answer_from_chunks, answer_requests, chunk_hits
+from gleanery.plans.usage_log import log_answers, timed
 from gleanery.session import spread_small, work_dir
 from gleanery.sinks.tables import TableStore, changed_rows, upsert
 from gleanery.sources.documents import accept_documents, reject_documents
@@ -248,7 +252,7 @@ def latency_from_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _answer_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = answer_requests(i.requests(spark, sf_dir), i.documents(spark, sf_dir))
-    return derive_telemetry(responses.join(i.timings(spark, sf_dir), "request_id"))
+    return derive_telemetry(timed(responses, i.timings(spark, sf_dir)))
 
 
 @query
@@ -262,6 +266,17 @@ def mart_from_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(latest_first(daily_mart(_answer_telemetry(spark, sf_dir))))
 
 
+@query
+def mart_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question and answer turns logged as responses, and the mart of the stored records."""
+    store = TableStore(spark, work_dir(spark, "tables"))
+    no_docs = F.array().cast(DOCS_TYPE).alias("retrieved_docs")
+    responses = i.exchanges(spark, sf_dir).select("*", no_docs, F.lit(None).cast("string").alias("error"))
+    log_answers(store, responses, i.timings(spark, sf_dir))
+    rebuild_mart(store)
+    return as_doubles(latest_first(store.read(MART)))
+
+
 @query
 def mart_agent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(latest_first(daily_mart(i.event_telemetry(spark, sf_dir))))
@@ -287,6 +302,11 @@ def dq_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(daily_mart(i.event_telemetry(spark, sf_dir)), mart_suite())
 
 
+@query
+def dq_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(answer_requests(i.requests(spark, sf_dir), i.documents(spark, sf_dir)), response_suite())
+
+
 @query
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_check(i.table(spark, sf_dir, "documents"), "text")
@@ -317,6 +337,17 @@ def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("doc_id", "written", F.col("payload.category").alias("category"), F.get("embedding", F.lit(0)).cast("double").alias("first_value"))
 
 
+@query
+def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents handed over, then again with some of them changed or incomplete."""
+    store = TableStore(spark, work_dir(spark, "tables"))
+    ingest_documents(store, i.documents(spark, sf_dir), run_ts=i.RUN_TS)
+    changed = _partial_documents(spark, sf_dir).withColumn("content", F.concat("content", F.lit(" (revised)")))
+    ingest_documents(store, changed, run_ts=i.RUN_TS + timedelta(days=1))
+    points = store.read(DOCUMENT_VECTORS)
+    return points.select("doc_id", "payload.category", F.md5("payload.content").alias("content_hash"), F.size("embedding_vector").alias("dim"))
+
+
 @query
 def index_sync_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against an index that lacks the German ones and holds other French ones."""

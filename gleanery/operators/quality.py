@@ -80,6 +80,23 @@ def mart_suite() -> Suite:
     )
 
 
+def index_suite(dim: int = EMBEDDING_DIM, key: str = "chunk_id") -> Suite:
+    """A search table takes vectors of one length, one per key."""
+    return Suite("index", [rule for rule in gold_suite(dim).rules if rule.column != "chunk_id"] + [not_null(key)], unique=[key])
+
+
+def response_suite() -> Suite:
+    """What every answered request owes its caller."""
+    incomplete = F.exists(
+        "retrieved_docs", lambda d: d["id"].isNull() | d["content"].isNull() | d["category"].isNull() | d["score"].isNull()
+    )
+    return Suite(
+        "response",
+        [*(not_null(c) for c in ("query", "current_step", "retrieved_docs")), Rule("complete", "retrieved_docs", incomplete)],
+        unique=["request_id"],
+    )
+
+
 def _row_checks(df: DataFrame, suite: Suite) -> DataFrame:
     counts = [F.count_if(rule.broken).alias(f"failed_{i}") for i, rule in enumerate(suite.rules)]
     rows = [
@@ -114,8 +131,12 @@ def _schema_check(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns that are absent or of another type; further columns are allowed."""
     actual = {field.name: field.dataType for field in df.schema}
     wrong = sorted(field.name for field in schema if actual.get(field.name) != field.dataType)
-    row = ("schema", ",".join(wrong) or "*", len(wrong), len(schema))
-    return df.sparkSession.createDataFrame([row], "check string, column string, failed bigint, total bigint")
+    return df.sparkSession.range(1, numPartitions=1).select(
+        F.lit("schema").alias("check"),
+        F.lit(",".join(wrong) or "*").alias("column"),
+        F.lit(len(wrong)).cast("bigint").alias("failed"),
+        F.lit(len(schema)).cast("bigint").alias("total"),
+    )
 
 
 def audit(df: DataFrame, suite: Suite) -> DataFrame:
