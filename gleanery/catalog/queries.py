@@ -65,8 +65,15 @@ def as_doubles(df: DataFrame) -> DataFrame:
 @query
 def bronze_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.table(spark, sf_dir, "documents")
-    files = rows.select(i.file_path().alias("path"), F.col("text").cast("binary").alias("content"))
-    return bronze_rows(files, i.RUN_TS).select("file_path", "raw_text", "is_valid_utf8", "content_hash")
+    return bronze_rows(_as_files(rows), i.RUN_TS).select("file_path", "raw_text", "is_valid_utf8", "content_hash")
+
+
+def _as_files(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        i.file_path().alias("path"),
+        F.lit(i.RUN_TS).cast("timestamp").alias("modificationTime"),
+        F.col("text").cast("binary").alias("content"),
+    )
 
 
 @query
@@ -382,10 +389,7 @@ def sink_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = TableStore(spark, work_dir(spark, "tables"))
-    bronze = bronze_rows(
-        i.table(spark, sf_dir, "documents").select(i.file_path().alias("path"), F.col("text").cast("binary").alias("content")),
-        i.RUN_TS,
-    )
+    bronze = bronze_rows(_as_files(i.table(spark, sf_dir, "documents")), i.RUN_TS)
     report = ingest_bronze(store, bronze, IngestSettings(), "first")
     row = [(report.status, report.message, report.rows[BRONZE], report.rows[SILVER], report.rows[GOLD])]
     return spark.createDataFrame(row, "status string, message string, bronze bigint, silver bigint, gold bigint")
