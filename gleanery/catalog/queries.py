@@ -336,12 +336,15 @@ def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = i.table(spark, sf_dir, "embeddings")
     payload = F.struct(F.col("label").alias("category")).alias("payload")
     content_hash = F.md5(F.col("label").cast("string")).alias("content_hash")
-    current = vectors.select(F.col("vec_id").alias("doc_id"), F.lit(-1).cast("bigint").alias("written"), "embedding", payload, content_hash)
+    current = vectors.select(
+        F.col("vec_id").alias("doc_id"), F.lit(-1).cast("bigint").alias("written"), "embedding", payload, content_hash
+    )
     incoming = vectors.select(
         (F.col("vec_id") + F.col("label")).alias("doc_id"), F.col("vec_id").alias("written"), "embedding", payload, content_hash
     )
     merged = upsert(current, incoming, "doc_id", "written")
-    return merged.select("doc_id", "written", F.col("payload.category").alias("category"), F.get("embedding", F.lit(0)).cast("double").alias("first_value"))
+    first_value = F.get("embedding", F.lit(0)).cast("double").alias("first_value")
+    return merged.select("doc_id", "written", F.col("payload.category").alias("category"), first_value)
 
 
 @query
@@ -352,7 +355,8 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = _partial_documents(spark, sf_dir).withColumn("content", F.concat("content", F.lit(" (revised)")))
     ingest_documents(store, changed, run_ts=i.RUN_TS + timedelta(days=1))
     points = store.read(DOCUMENT_VECTORS)
-    return points.select("doc_id", "payload.category", F.md5("payload.content").alias("content_hash"), F.size("embedding_vector").alias("dim"))
+    content_hash, dim = F.md5("payload.content").alias("content_hash"), F.size("embedding_vector").alias("dim")
+    return points.select("doc_id", "payload.category", content_hash, dim)
 
 
 @query
@@ -423,7 +427,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_telemetry(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     responses = i.event_responses(_event_stream(spark, sf_dir))
-    write_files(accepted_telemetry(responses), f"{base}/telemetry", f"{base}/telemetry-checkpoint", "execution_timestamp").awaitTermination()
+    accepted = accepted_telemetry(responses)
+    write_files(accepted, f"{base}/telemetry", f"{base}/telemetry-checkpoint", "execution_timestamp").awaitTermination()
     write_files(rejected_responses(responses), f"{base}/rejects", f"{base}/rejects-checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/telemetry")
 

@@ -47,7 +47,7 @@ def not_null(column: str) -> Rule:
     return Rule("not_null", column, F.col(column).isNull())
 
 
-def silver_suite(chunk_size: int = CHUNK_SIZE) -> Suite:
+def silver_suite(chunk_size: int = CHUNK_SIZE, schema: T.StructType | None = None) -> Suite:
     text = F.col("chunk_text")
     return Suite(
         "silver",
@@ -58,10 +58,11 @@ def silver_suite(chunk_size: int = CHUNK_SIZE) -> Suite:
             Rule("max_length", "chunk_text", F.length(text) > chunk_size),
         ],
         unique=["chunk_id"],
+        schema=schema,
     )
 
 
-def gold_suite(dim: int = EMBEDDING_DIM) -> Suite:
+def gold_suite(dim: int = EMBEDDING_DIM, schema: T.StructType | None = None) -> Suite:
     vector = F.col("embedding_vector")
     return Suite(
         "gold",
@@ -71,6 +72,7 @@ def gold_suite(dim: int = EMBEDDING_DIM) -> Suite:
             Rule("dimension", "embedding_vector", F.size(vector) != dim),
             Rule("finite", "embedding_vector", has_bad_value(vector)),
         ],
+        schema=schema,
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanery.operators.mart import MART_COLUMNS, mart_measures
 from gleanery.sinks.tables import TableStore
-from gleanery.streaming.batches import publish_batches
+from gleanery.streaming.batches import paced, publish_batches
 
 
 def windowed_mart(telemetry: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -20,18 +20,16 @@ def windowed_mart(telemetry: DataFrame, lateness: str = "1 day") -> DataFrame:
     return daily.withColumn("run_date", F.to_date("window.start")).select(*MART_COLUMNS)
 
 
-def publish_mart(telemetry: DataFrame, store: TableStore, table: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:
+def publish_mart(
+    telemetry: DataFrame, store: TableStore, table: str, checkpoint: str, lateness: str = "1 day", every: str | None = None
+) -> StreamingQuery:
     """Republish the whole mart after each micro-batch. It has one row per day, so this stays small."""
     mart = windowed_mart(telemetry, lateness).writeStream.outputMode("complete")
-    return publish_batches(mart, store.replace, store, table, checkpoint)
-
-
-def append_closed_days(telemetry: DataFrame, path: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:
-    return (
-        windowed_mart(telemetry, lateness)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .start(path)
-    )
+    return publish_batches(mart, store.replace, store, table, checkpoint, every)
+
+
+def append_closed_days(
+    telemetry: DataFrame, path: str, checkpoint: str, lateness: str = "1 day", every: str | None = None
+) -> StreamingQuery:
+    writer = windowed_mart(telemetry, lateness).writeStream.outputMode("append").format("parquet")
+    return paced(writer, checkpoint, every).start(path)

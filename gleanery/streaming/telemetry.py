@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanery.operators.telemetry import derive_telemetry
 from gleanery.sinks.tables import TableStore
-from gleanery.streaming.batches import publish_batches
+from gleanery.streaming.batches import paced, publish_batches
 
 
 def accepted_telemetry(responses: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -22,17 +22,19 @@ def rejected_responses(responses: DataFrame) -> DataFrame:
     return responses.where(F.col("executed_at").isNull()).withColumn("reason", F.lit("executed_at is missing"))
 
 
-def write_files(stream: DataFrame, path: str, checkpoint: str, by_day_of: str | None = None) -> StreamingQuery:
-    """Append to a file sink, each record exactly once, and stop when the input present at the start is
-    consumed."""
+def write_files(
+    stream: DataFrame, path: str, checkpoint: str, by_day_of: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Append to a file sink, each record exactly once, optionally in one folder per UTC day."""
     if by_day_of:
-        stream = stream.withColumn("run_date", F.to_date(by_day_of))
-    writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-    if by_day_of:
-        writer = writer.partitionBy("run_date")
-    return writer.option("checkpointLocation", checkpoint).start(path)
+        writer = stream.withColumn("run_date", F.to_date(by_day_of)).writeStream.partitionBy("run_date")
+    else:
+        writer = stream.writeStream
+    return paced(writer.format("parquet").outputMode("append"), checkpoint, every).start(path)
 
 
-def publish_stream(stream: DataFrame, store: TableStore, table: str, checkpoint: str) -> StreamingQuery:
+def publish_stream(
+    stream: DataFrame, store: TableStore, table: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Append each micro-batch to a published table, once even if the batch is replayed."""
-    return publish_batches(stream.writeStream.outputMode("append"), store.append, store, table, checkpoint)
+    return publish_batches(stream.writeStream.outputMode("append"), store.append, store, table, checkpoint, every)

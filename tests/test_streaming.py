@@ -1,10 +1,9 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from gleanery.operators.mart import daily_mart
-from gleanery.plans.medallion import BRONZE, GOLD, SILVER, ingest_bronze, IngestSettings
+from gleanery.plans.medallion import BRONZE, GOLD, SILVER, IngestSettings, ingest_bronze
 from gleanery.sinks.tables import TableStore
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
