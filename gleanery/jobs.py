@@ -19,7 +19,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("path", nargs="?", default=DEFAULT_SOURCE, help="folder of raw .txt files")
     parser.add_argument("--root", required=True, help="folder of the published tables")
     parser.add_argument("--format", default="parquet", help="table format")
-    return parser.parse_args(arguments)
+    return parser.parse_intermixed_args(arguments)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

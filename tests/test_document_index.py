@@ -79,3 +79,4 @@ def test_usage_is_stored_by_day_and_rolled_up(spark, store, policies):
 def test_source_folder_has_a_default():
     assert parse(["nightly", "--root", "/x"]).path == DEFAULT_SOURCE
     assert parse(["nightly", "/data/raw", "--root", "/x"]).path == "/data/raw"
+    assert parse(["nightly", "--root", "/x", "/data/raw"]).path == "/data/raw"
