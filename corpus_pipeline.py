@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import packing, quality_cascade, shingle_join
+from gleanery.llm import packing, personal_data, quality_cascade, shingle_join, toxicity
 from gleanery.session import work_dir
 
 
@@ -16,10 +16,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(F.col("__rejected_by").isNull()).drop("__rejected_by")
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5, by a classifier learned from the labelled ones among them."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.scored(docs, model, out="__toxic")
+    return scored.where(F.col("__toxic") < 0.5).drop("__toxic")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links connect the document with the smallest id. Rows without an id or without words stay."""
-    kept = shingle_join.first_of_groups(docs)
-    return kept
+    """Of each group that links connect the document with the smallest id. Rows without words stay."""
+    return shingle_join.first_of_groups(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with every span of personal data replaced by its kind; ``n_chars`` follows the text where it is a column."""
+    clean = personal_data.redact(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +39,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("packing", packed)]
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", private),
+    ("packing", packed),
+]
 ORACLE_SQL = None
 
 

@@ -6,13 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import packing, piece_codec, quality_cascade, shingle_join, top_k, url_trees
+from gleanery.llm import kneser_ney, packing, page_text, personal_data, piece_codec, quality_cascade, shingle_join, top_k, toxicity, url_trees
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return kneser_ney.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -25,6 +38,10 @@ def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -37,7 +54,21 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.grouped(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_top_k, op5_url_trees, op6_quality_cascade, op8_piece_codec, op9_packing, op10_shingle_join)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_page_text,
+        op3_kneser_ney,
+        op4_exact_top_k,
+        op5_url_trees,
+        op6_quality_cascade,
+        op7_personal_data,
+        op8_piece_codec,
+        op9_packing,
+        op10_shingle_join,
+    )
+}
 
 ORACLES = {
     "op4_exact_top_k": """

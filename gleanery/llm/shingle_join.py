@@ -30,6 +30,8 @@ PERCENT = 80
 SPARE, DELETABLE = 0.1, 16
 #: Contents of a segment that this many sets share in one task are counted; the commonest of them are avoided in indexing.
 COMMON, COMMON_KEPT = 8, 50_000
+#: Parts of a sketch, and rounds with a centre drawn anew before the rest of the pairs is looked at one by one.
+PARTS, ROUNDS = 64, 2
 U = np.uint64
 
 
@@ -66,6 +68,30 @@ def digests(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def sketches(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """For each text the sizes and 16-bit sums of the parts of its set, which bound from below how far two sets differ."""
+    part = row * PARTS + (value & U(PARTS - 1)).astype(np.int64)
+    sizes = np.minimum(np.bincount(part, minlength=n * PARTS), 65535)
+    sums = np.zeros(n * PARTS, np.uint16)
+    np.add.at(sums, part, (mixed(value) >> U(48)).astype(np.uint16))
+    return np.hstack([sizes.astype("<u2").reshape(n, PARTS), sums.astype("<u2").reshape(n, PARTS)])
+
+
+def _possible(percent: int):
+    """Pairs whose sketches allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, 2 * PARTS).astype(np.int64) for c in ("sketch_a", "sketch_b"))
+            apart = np.abs(x[:, :PARTS] - y[:, :PARTS])
+            differ = np.maximum(apart, x[:, PARTS:] != y[:, PARTS:]).sum(axis=1)
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            keep = pa.array(differ * (100 + percent) <= sizes * (100 - percent))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 class Bands:
     """Size bands and their segments for a threshold in percent."""
 
@@ -188,15 +214,16 @@ def _summaries(width: int, percent: int):
                         sums, places, full = _contents(value[ends[i] - sizes[i] : ends[i]], band, count)
                         held.append(_key(sums, places)[full > 0])
                 nothing = pa.nulls(part.num_rows, pa.int64())
-                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(found.view(np.int64)), nothing, nothing]
-                yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "common", "sets"])
+                sketch = pa.array([x.tobytes() for x in sketches(row, value, part.num_rows)], pa.binary())
+                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(found.view(np.int64)), sketch, nothing, nothing]
+                yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "sketch", "common", "sets"])
         if held:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             many = counts >= COMMON
             keys, counts = keys[many], counts[many]
             none = pa.nulls(len(keys), pa.int64())
-            columns = [pa.nulls(len(keys), part.schema.field(0).type), none, none, pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "common", "sets"])
+            columns = [pa.nulls(len(keys), part.schema.field(0).type), none, none, pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "sketch", "common", "sets"])
 
     return run
 
@@ -261,7 +288,7 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     """
     rows = docs.select(F.col(key), F.col(text).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    summaries = rows.mapInArrow(_summaries(width, percent), f"{key} {kind}, n_shingles long, digest long, common long, sets long")
+    summaries = rows.mapInArrow(_summaries(width, percent), f"{key} {kind}, n_shingles long, digest long, sketch binary, common long, sets long")
     summaries = materialize(summaries, "join-summaries")
     members = summaries.where("digest is not null").select(key, "n_shingles", "digest")
     common = summaries.where("common is not null").groupBy("common").agg(F.sum("sets").alias("n")).orderBy(F.desc("n"), "common")
@@ -280,28 +307,38 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     met = met.where("centre is not null and low < high").select("at", "digest", "role", "centre", (F.col("centre") < F.col("last")).alias("more"))
     met = materialize(met.dropDuplicates(["at", "digest", "role"]), "join-segments")
 
-    firsts = members.where("n_shingles > 0").groupBy("digest").agg(F.max("n_shingles").alias("n"))
-    linked = _linked(_pairs(met.where("digest != centre").select(F.col("centre").alias("x"), F.col("digest").alias("y")), firsts, percent), rows, members, key, width, percent)
-    linked = materialize(linked, "join-links")
-
-    parts = components(linked)
-    open_ = met.where("more").join(parts.withColumnRenamed("node", "digest"), "digest", "left")
-    open_ = open_.withColumn("part", F.coalesce("component", "digest"))
-    apart = open_.withColumns({"least": F.min("part").over(same), "most": F.max("part").over(same)}).where("least < most")
-    apart = materialize(apart.select("at", "digest", "role", "part", "centre"), "join-apart")
-    left = apart.where("role != 2 and digest != centre").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
-    right = apart.where("role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
-    further = left.join(right, "at").where("x_part != y_part").select("x", "y")
-    more = _linked(_pairs(further, firsts, percent), rows, members, key, width, percent)
-    return members, linked.unionByName(materialize(more, "join-further-links"))
-
-
-def _pairs(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b whose sizes allow a link."""
+    sets = summaries.where("n_shingles > 0").groupBy("digest").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(_linked(_pairs(pairs, sets, percent), rows, members, key, width, percent), "join-links")
+
+    links = linked(met.where("digest != centre").select(F.col("centre").alias("x"), F.col("digest").alias("y")))
+    met = met.where("more").select("at", "digest", "role")
+    for turn in range(ROUNDS + 1):
+        # Only segments where sets of different components still meet.
+        now = met.join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
+        now = now.drop("component").withColumns({"least": F.min("part").over(same), "most": F.max("part").over(same)}).where("least < most")
+        now = materialize(now.drop("least", "most"), "join-apart")
+        met = now.select("at", "digest", "role")
+        if turn < ROUNDS:
+            drawn = F.when(F.col("role") != 2, F.struct(F.xxhash64("at", "digest", F.lit(turn)).alias("h"), F.col("digest").alias("x"), F.col("part").alias("x_part")))
+            centred = now.withColumn("c", F.min(drawn).over(same)).where("c.x_part != part")
+            pairs = centred.select(F.col("c.x").alias("x"), F.col("digest").alias("y"))
+        else:
+            left = now.where("role != 2").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
+            right = now.where("role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
+            pairs = left.join(right, "at").where("x_part != y_part").select("x", "y")
+        links = links.unionByName(linked(pairs))
+    return members, links
+
+
+def _pairs(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs a < b whose sizes and sketches allow a link."""
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = pairs.join(sizes.select(F.col("digest").alias("a"), F.col("n").alias("n_a")), "a")
-    pairs = pairs.join(sizes.select(F.col("digest").alias("b"), F.col("n").alias("n_b")), "b")
-    return pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b")
+    for c in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
+    pairs = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    return pairs.mapInArrow(_possible(percent), "a long, b long")
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, members: DataFrame, key: str, width: int, percent: int) -> DataFrame:
