@@ -319,6 +319,8 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
         now = met.join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
         now = now.drop("component").withColumns({"least": F.min("part").over(same), "most": F.max("part").over(same)}).where("least < most")
         now = materialize(now.drop("least", "most"), "join-apart")
+        if now.isEmpty():
+            break
         met = now.select("at", "digest", "role")
         if turn < ROUNDS:
             drawn = F.when(F.col("role") != 2, F.struct(F.xxhash64("at", "digest", F.lit(turn)).alias("h"), F.col("digest").alias("x"), F.col("part").alias("x_part")))
