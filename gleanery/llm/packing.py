@@ -8,7 +8,9 @@ r-th piece of a length belongs to the pattern whose range of that length holds r
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,6 +38,14 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def _words(text: str | None) -> list[bytes]:
     """Words of a text, A-Z lower-cased as the tokenizer does, but for texts that may hold its special tokens."""
     raw = (text or "").encode()
@@ -48,7 +58,7 @@ def _remember(known, memory: dict[bytes, bytes], words: set[bytes]) -> None:
     cut = {word for word in words if word[-1] in b".," and word[-2:-1].isalpha()}
     new = list(({word[:-1] for word in cut} | {word[-1:] for word in cut} | (words - cut)).difference(memory))
     found = known.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-    memory.update((word, np.asarray(x.ids, "<u4").tobytes()) for word, x in zip(new, found, strict=True))
+    memory.update((word, _bytes(x.ids)) for word, x in zip(new, found, strict=True))
     memory.update((word, memory[word[:-1]] + memory[word[-1:]]) for word in cut)
 
 
@@ -67,10 +77,10 @@ def _pieces(path: str, sequence: int, end: int):
                 texts = [_words(text) for text in batch.column("text").to_pylist()]
                 if len(memory) > REMEMBERED:
                     memory.clear()
-                _remember(known, memory, {word for text in texts for word in text}.difference(memory))
+                _remember(known, memory, set().union(*texts).difference(memory))
                 rows, starts, lengths, sums, totals = [], [], [], [], []
                 for i, text in enumerate(texts):
-                    ids = b"".join([memory[word] for word in text]) + last
+                    ids = b"".join(map(memory.__getitem__, text)) + last
                     for start in range(0, len(ids), 4 * sequence):
                         piece = ids[start : start + 4 * sequence]
                         rows.append(i)

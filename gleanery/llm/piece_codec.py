@@ -133,9 +133,9 @@ def _encode(path: str, decode: bool):
                 if len(memory) > REMEMBERED:
                     memory.clear()
                     known.parts.clear()
-                new = list({chunk for text in texts for chunk in text}.difference(memory))
+                new = list(set().union(*texts).difference(memory))
                 memory.update((c, np.asarray(ids, "<u4").tobytes()) for c, ids in zip(new, known.checked(new), strict=True))
-                ids = [begin + b"".join([memory[chunk] for chunk in text]) + end for text in texts]
+                ids = [begin + b"".join(map(memory.__getitem__, text)) + end for text in texts]
                 columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
                 names = [name for name in batch.schema.names if name != "text"]
                 if decode:
