@@ -13,6 +13,7 @@ still in different components are verified as well, so a large group of near cop
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Spare segments of a band, as a share of those needed; of every so many segments one may be indexed with deletions.
-SPARE, DELETABLE = 0.1, 16
+SPARE, DELETABLE = 0.25, 16
 #: Contents of a segment that this many sets share in one task are counted; the commonest of them are avoided in indexing.
 COMMON, COMMON_KEPT = 8, 50_000
 #: Parts of a sketch, and rounds with a centre drawn anew before the rest of the pairs is looked at one by one.
@@ -123,75 +124,73 @@ def _segments(value: np.ndarray, count: int) -> np.ndarray:
     return ((value >> U(32)) * U(count) >> U(32)).astype(np.int64)
 
 
-def _contents(value: np.ndarray, band: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, key) of every segment of a sorted set, empty ones too, and the number of shingles in it."""
+def _spread(value: np.ndarray) -> np.ndarray:
+    """What a shingle adds to the content of its segment."""
+    return mixed(value ^ U(0xD1B54A32D192ED03))
+
+
+def _contents(value: np.ndarray, spread: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Content and size of every segment of a sorted set, empty ones too, and the segment of each shingle."""
     at = _segments(value, count)
-    sums = np.zeros(count, U)
-    spread = mixed(value ^ U(0xD1B54A32D192ED03))
     sizes = np.bincount(at, minlength=count)
     full = np.flatnonzero(sizes)
-    with np.errstate(over="ignore"):
-        sums[full] = np.add.reduceat(spread, (np.cumsum(sizes) - sizes)[full])
-    return sums, _place(band, np.arange(count)), sizes
-
-
-def _place(band: int, segment: np.ndarray) -> np.ndarray:
-    return mixed(segment.astype(U) + (U(band) << U(40)) + U(1))
-
-
-def _key(content: np.ndarray, place: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mixed(content + place)
+    sums = np.zeros(count, U)
+    sums[full] = np.add.reduceat(spread, (np.cumsum(sizes) - sizes)[full])
+    return sums, sizes, at
 
 
-def _deletions(value: np.ndarray, band: int, count: int, chosen: np.ndarray) -> np.ndarray:
-    """Keys of the chosen segments with one shingle left out."""
-    at = _segments(value, count)
-    sums, places, _ = _contents(value, band, count)
-    inside = np.zeros(count, bool)
-    inside[chosen] = True
-    some = inside[at]
-    with np.errstate(over="ignore"):
-        return _key(sums[at[some]] - mixed(value[some] ^ U(0xD1B54A32D192ED03)), places[at[some]])
+@lru_cache(maxsize=4096)
+def _places(band: int, count: int) -> np.ndarray:
+    return mixed(np.arange(count).astype(U) + (U(band) << U(40)) + U(1))
 
 
-def signatures(value: np.ndarray, bands: Bands, common: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(keys to index, keys to look up) of a sorted set."""
-    size = len(value)
-    band = bands.of(size)
-    index, look_up = [], []
-    for b in (band, band - 1):
+def signatures(value: np.ndarray, bands: Bands, common: tuple[np.ndarray, np.ndarray] | None = None, spread: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a sorted set: (indexed and looked up, indexed only, looked up only)."""
+    spread = _spread(value) if spread is None else spread
+    own = bands.of(len(value))
+    both, index, look_up = np.empty(0, U), np.empty(0, U), []
+    for b in (own, own - 1):
         count = bands.segments(b) if b >= 0 else 0
         if not count:
             continue
-        sums, places, sizes = _contents(value, b, count)
-        keys = _key(sums, places)
-        may_delete = np.flatnonzero((np.arange(count) % bands.deletable(b) == 0) & (sizes > 0))
-        look_up += [keys, _deletions(value, b, count, may_delete)]
-        if b == band:
-            index += _allocate(value, b, count, keys, sizes, may_delete, bands.differ(size) + 1, common or {})
-    empty = np.empty(0, U)
-    return np.unique(np.concatenate(index or [empty])), np.unique(np.concatenate(look_up or [empty]))
-
-
-def _allocate(value, band, count, keys, sizes, may_delete, needed, common) -> list[np.ndarray]:
-    """Index enough segments: plain ones in the order of their cost, then deletions, then common and empty ones."""
-    cost = np.array([common.get(k, 0) for k in keys.tolist()]) if common else np.zeros(count, np.int64)
-    cost = np.where(sizes == 0, np.iinfo(np.int64).max, cost)
+        places, every = _places(b, count), bands.deletable(b)
+        with np.errstate(over="ignore"):
+            sums, sizes, at = _contents(value, spread, count)
+            keys = mixed(sums + places)
+            some = at % every == 0
+            look_up.append(mixed(sums[at[some]] - spread[some] + places[at[some]]))
+            if b < own:
+                look_up.append(keys)
+                continue
+            chosen, widened = _allocate(keys, sizes, every, bands.differ(len(value)) + 1, common)
+            both = keys[chosen]
+            left = np.ones(count, bool)
+            left[chosen] = False
+            look_up.append(keys[left])
+            if len(widened):
+                some = np.isin(at, widened)
+                index = mixed(sums[at[some]] - spread[some] + places[at[some]])
+    return both, index, np.concatenate(look_up) if look_up else np.empty(0, U)
+
+
+def _allocate(keys: np.ndarray, sizes: np.ndarray, every: int, needed: int, common: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """(segments to index, those of them to index with deletions too): plain ones in the order of their cost, then deletions, then
+    common and empty ones."""
+    cost = np.zeros(len(keys), np.int64)
+    if common is not None and len(common[0]):
+        place = np.minimum(np.searchsorted(common[0], keys), len(common[0]) - 1)
+        cost = np.where(common[0][place] == keys, common[1][place], 0)
+    cost[sizes == 0] = np.iinfo(np.int64).max
     order = np.lexsort((-sizes, cost))
     cheap = order[: int((cost == 0).sum())]
+    none = np.empty(0, np.int64)
     if len(cheap) >= needed:
-        return [keys[cheap[:needed]]]
-    chosen, left = list(cheap), needed - len(cheap)
+        return cheap[:needed], none
     # A deletion widens a segment that is indexed already; the smallest ones cost least, those of one shingle select nothing.
-    allowed = set(may_delete.tolist()) & {i for i in chosen if sizes[i] > 1 or count == 1}
-    widened = sorted(allowed, key=lambda i: (sizes[i], i))[:left]
-    left -= len(widened)
-    rest = [i for i in order[len(cheap) :]][:left]
-    out = [keys[np.array(chosen + rest, np.int64)]]
-    if widened:
-        out.append(_deletions(value, band, count, np.array(widened)))
-    return out
+    allowed = cheap[(cheap % every == 0) & ((sizes[cheap] > 1) | (len(keys) == 1))]
+    widened = allowed[np.argsort(sizes[allowed], kind="stable")][: needed - len(cheap)]
+    rest = order[len(cheap) :][: needed - len(cheap) - len(widened)]
+    return np.concatenate([cheap, rest]), widened
 
 
 def _summaries(width: int, percent: int):
@@ -204,15 +203,16 @@ def _summaries(width: int, percent: int):
                 row, value = shingles(part.column("text"), width)
                 sizes = np.bincount(row, minlength=part.num_rows)
                 found = digests(row, value, part.num_rows)
-                ends = np.cumsum(sizes)
+                ends, spread = np.cumsum(sizes), _spread(value)
                 for i in np.flatnonzero(sizes):
                     if found[i] in seen:
                         continue
                     seen.add(found[i])
                     band = bands.of(int(sizes[i]))
                     if count := bands.segments(band):
-                        sums, places, full = _contents(value[ends[i] - sizes[i] : ends[i]], band, count)
-                        held.append(_key(sums, places)[full > 0])
+                        own = slice(ends[i] - sizes[i], ends[i])
+                        sums, full, _ = _contents(value[own], spread[own], count)
+                        held.append(mixed(sums + _places(band, count))[full > 0])
                 nothing = pa.nulls(part.num_rows, pa.int64())
                 sketch = pa.array([x.tobytes() for x in sketches(row, value, part.num_rows)], pa.binary())
                 columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(found.view(np.int64)), sketch, nothing, nothing]
@@ -228,7 +228,7 @@ def _summaries(width: int, percent: int):
     return run
 
 
-def _keys(width: int, percent: int, common: dict[int, int]):
+def _keys(width: int, percent: int, common: tuple[np.ndarray, np.ndarray]):
     """The keys of every set, once for each task that meets it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,25 +238,30 @@ def _keys(width: int, percent: int, common: dict[int, int]):
                 row, value = shingles(part.column("text"), width)
                 sizes = np.bincount(row, minlength=part.num_rows)
                 found = digests(row, value, part.num_rows)
-                ends = np.cumsum(sizes)
-                rows, both, index, look_up = [], [], [], []
+                ends, spread = np.cumsum(sizes), _spread(value)
+                rows, lists = [], ([], [], [])
                 for i in np.flatnonzero(sizes):
                     if found[i] in seen:
                         continue
                     seen.add(found[i])
-                    a, b = signatures(value[ends[i] - sizes[i] : ends[i]], bands, common)
-                    if len(b):
-                        shared = np.isin(b, a, assume_unique=True)
+                    own = slice(ends[i] - sizes[i], ends[i])
+                    keys = signatures(value[own], bands, common, spread[own])
+                    if len(keys[0]) + len(keys[2]):
                         rows.append(i)
-                        both.append(b[shared].view(np.int64))
-                        look_up.append(b[~shared].view(np.int64))
-                        index.append(a[~np.isin(a, b, assume_unique=True)].view(np.int64))
-                lists = [pa.array(x, pa.list_(pa.int64())) for x in (both, index, look_up)]
-                yield pa.RecordBatch.from_arrays([pa.array(found[rows].view(np.int64)), *lists], names=["digest", "both", "indexed", "looked_up"])
+                        for into, k in zip(lists, keys, strict=True):
+                            into.append(k)
+                arrays = [_lists(x) for x in lists]
+                yield pa.RecordBatch.from_arrays([pa.array(found[rows].view(np.int64)), *arrays], names=["digest", "both", "indexed", "looked_up"])
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(p) for p in parts)])
+    values = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
 def _verify(width: int, percent: int):
     """Pairs of texts that are linked."""
 
@@ -292,7 +297,8 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     summaries = materialize(summaries, "join-summaries")
     members = summaries.where("digest is not null").select(key, "n_shingles", "digest")
     common = summaries.where("common is not null").groupBy("common").agg(F.sum("sets").alias("n")).orderBy(F.desc("n"), "common")
-    avoided = {r["common"] % 2**64: r["n"] for r in common.limit(COMMON_KEPT).collect()}
+    known = sorted((r["common"] % 2**64, r["n"]) for r in common.limit(COMMON_KEPT).collect())
+    avoided = np.array([k for k, _ in known], U), np.array([n for _, n in known], np.int64)
 
     found = rows.mapInArrow(_keys(width, percent, avoided), "digest long, both array<long>, indexed array<long>, looked_up array<long>")
     # 3: indexed and looked up, 1: indexed, 2: looked up.
