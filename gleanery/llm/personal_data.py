@@ -50,8 +50,11 @@ ROUNDS = 50
 SPAN = "struct<kind:int,start:int,end:int,base:boolean,text:string,before:string,after:string>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, text>>: the leftmost non-overlapping matches, in code points, end exclusive."""
+def matches(text: Column, pattern: str, passing: Callable[[Column], Column] = lambda match: F.lit(True)) -> Column:
+    """array<struct<start, end, text>>: those of the leftmost non-overlapping matches that pass, in code points, end exclusive.
+
+    Only what passes is listed, so a text full of numbers costs no more than its length.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def placed(both: Column) -> Column:
@@ -64,7 +67,7 @@ def matches(text: Column, pattern: str) -> Column:
         def step(s: Column, x: Column) -> Column:
             start = s["at"] + x["gap"]
             span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), x["text"].alias("text"))
-            return F.struct((start + x["n"]).alias("at"), F.when(x["text"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(span))).alias("out"))
+            return F.struct((start + x["n"]).alias("at"), F.when(x["text"].isNotNull() & passing(x["text"]), F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
 
         return F.aggregate(sizes, state, step, lambda s: s["out"])
 
@@ -103,7 +106,7 @@ def passes(kind: str, text: Column) -> Column:
 def base_spans(text: Column, kind: str) -> Column:
     pattern = dict(BASE)[kind]
     hint = {"email": "@", "ip": ".", "phone": "+"}.get(kind)
-    found = F.filter(matches(text, pattern), lambda x: passes(kind, x["text"]))
+    found = matches(text, pattern, lambda match: passes(kind, match))
     if hint is None:
         return found
     return F.when(F.contains(text, F.lit(hint)), found).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,text:string>>)"))

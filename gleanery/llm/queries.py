@@ -73,12 +73,12 @@ QUERIES = {
 ORACLES = {
     "op4_exact_top_k": """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS n FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS n FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.n, c.n), z -> z[1] * z[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.n, c.n), lambda z: z[1] * z[2])) AS BIGINT) AS score
     FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
@@ -86,7 +86,7 @@ FROM s QUALIFY rank <= 5""",
     "op6_quality_cascade": r"""
 WITH w AS (
     SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-           list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), g AS (
     SELECT doc_id, i, words[i:i+4] AS five FROM w, unnest(range(1, len(words) - 3)) AS r(i)
@@ -109,23 +109,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR n_dup_lines * 100 > len(lines) * 40
             OR 2 * len(regexp_extract_all(text, '[A-ZÀ-ÖØ-Þ]{2}')) * 100 > word_chars * 40
             OR (length(text) - length(replace(text, '!', ''))) * 100 > n_words * 50
-            OR len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) * 100 > n_words * 30
+            OR len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) * 100 > n_words * 30
             OR word_chars < n_words * 2 OR word_chars > n_words * 20) AS kept
 FROM s""",
     "op10_shingle_join": r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
-                                  x -> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words
+                                  lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words
     FROM documents
 ), s AS (
     SELECT DISTINCT doc_id, hash(words[i:i+4]) AS shingle FROM w, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS r(i)
 ), n AS (
     SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id
 ), common AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s AS a JOIN s AS b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s AS a JOIN s AS b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS (
     SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
-    WHERE 100 * both >= 80 * (x.n_shingles + y.n_shingles - both)
+    WHERE 100 * shared >= 80 * (x.n_shingles + y.n_shingles - shared)
 ), reached AS (
     SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reached AS r JOIN links AS l ON r.other = l.a
 ), least AS (
