@@ -79,11 +79,11 @@ ORACLES["knn_top2"] = f"SELECT query_id, id, round(score, 4) AS score, rank::INT
 ORACLES["knn_top3_chunks"] = f"""WITH chunks AS ({_CHUNK_IDS}), {_hashed_hits("SELECT chunk_id AS id, chunk_text AS text FROM chunks", 3)}
 SELECT md5(query) AS query_id, rank::INT AS rank, chunk_id, file_path, chunk_text, round(score, 4) AS score
 FROM hits JOIN chunks ON chunk_id = id"""
-ORACLES["retrieved_documents"] = f"""SELECT query_id, rank::INT AS rank, doc_id::VARCHAR AS id, text AS content,
-    lang AS category, round(score, 4) AS score FROM ({_VECTOR_HITS}) JOIN documents ON doc_id = id"""
+ORACLES["retrieved_documents"] = f"""SELECT query_id, rank::INT AS rank, id::VARCHAR AS id, text AS content,
+    lang AS category, round(score, 4) AS score FROM ({_VECTOR_HITS}) LEFT JOIN documents ON doc_id = id"""
 ORACLES["analyst_summary"] = f"""SELECT query_id, 'Analysis for ''vector ' || query_id || ''': Evaluated ' || count(*)
-    || ' document(s). Key Insights: ' || string_agg(text, ' | ' ORDER BY rank) AS analysis_output
-    FROM ({_VECTOR_HITS}) JOIN documents ON doc_id = id GROUP BY query_id"""
+    || ' document(s). Key Insights: ' || coalesce(string_agg(text, ' | ' ORDER BY rank), '') AS analysis_output
+    FROM ({_VECTOR_HITS}) LEFT JOIN documents ON doc_id = id GROUP BY query_id"""
 ORACLES["rag_answer"] = f"""WITH chunks AS ({_CHUNK_IDS}), {_hashed_hits("SELECT chunk_id AS id, chunk_text AS text FROM chunks", 3)},
     found AS (SELECT query, count(*) AS n, string_agg(chunk_text, chr(10) || '---' || chr(10) ORDER BY rank) AS context,
         list_sort(list_distinct(list(file_path))) AS sources
@@ -136,15 +136,14 @@ _ANSWER_TELEMETRY = f"""{_RESPONSES}, telemetry AS (SELECT *, prompt_tokens + co
         CASE WHEN error IS NULL THEN 200 ELSE 500 END AS status_code, error AS error_message,
         best_score AS vector_similarity_score
         FROM responses JOIN events ON event_id = split_part(request_id, '-', 1)::BIGINT))"""
-_MART = """SELECT execution_timestamp::DATE AS run_date, count(request_id) AS total_agent_queries,
-    round(avg(execution_time_ms), 2) AS avg_latency_ms, round(max(execution_time_ms), 2) AS max_latency_ms,
-    round(avg(vector_similarity_score), 4) AS avg_cosine_similarity,
-    sum(prompt_tokens)::BIGINT AS total_prompt_tokens, sum(completion_tokens)::BIGINT AS total_completion_tokens,
-    sum(prompt_tokens + completion_tokens)::BIGINT AS grand_total_tokens,
-    round(sum(total_cost_usd), 4)::DOUBLE AS total_spend_usd,
-    count(CASE WHEN status_code != 200 THEN 1 END) AS error_count,
-    round(count(CASE WHEN status_code != 200 THEN 1 END) * 100.0 / nullif(count(request_id), 0), 2)::DOUBLE AS error_rate_percentage
-    FROM telemetry GROUP BY run_date"""
+_MART = """, flagged AS (SELECT CAST(execution_timestamp AS DATE) AS run_date, status_code IS DISTINCT FROM 200 AND status_code IS NOT NULL AS failed, * FROM telemetry)
+SELECT run_date, count(request_id) AS total_agent_queries, count(*) FILTER (failed) AS error_count,
+    round(100.0 * count(*) FILTER (failed) / nullif(count(request_id), 0), 2)::DOUBLE AS error_rate_percentage,
+    round(max(execution_time_ms), 2) AS max_latency_ms, round(mean(execution_time_ms), 2) AS avg_latency_ms,
+    round(mean(vector_similarity_score), 4) AS avg_cosine_similarity, round(sum(total_cost_usd), 4)::DOUBLE AS total_spend_usd,
+    sum(completion_tokens)::BIGINT AS total_completion_tokens, sum(prompt_tokens)::BIGINT AS total_prompt_tokens,
+    sum(completion_tokens + prompt_tokens)::BIGINT AS grand_total_tokens
+    FROM flagged GROUP BY ALL"""
 ORACLES["telemetry_derive"] = f"""WITH {_ANSWER_TELEMETRY}
 SELECT * REPLACE (epoch_us(execution_timestamp) AS execution_timestamp, total_cost_usd::DOUBLE AS total_cost_usd) FROM telemetry"""
 ORACLES["mart_from_answers"] = f"WITH {_ANSWER_TELEMETRY} {_MART}"

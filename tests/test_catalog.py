@@ -9,7 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 from check_oracles import TABLES, rows_of  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from gleanery.catalog.oracles import ORACLES  # noqa: E402
+from gleanery.catalog.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -20,20 +22,20 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     rows = [tuple(row) for row in df.collect()]
     assert rows
-    if name in oracle_sql():
-        result = duck.execute(oracle_sql()[name])
+    if name in ORACLES:
+        result = duck.execute(ORACLES[name])
         columns = [d[0] for d in result.description]
         assert sorted(columns) == sorted(df.columns)
         assert rows_of(df.columns, rows) == rows_of(columns, result.fetchall())
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries()) and set(queries()) - set(oracle_sql()) == {"knn_lsh_top2"}
+    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"knn_lsh_top2"}
 
 
 def test_entry(spark):

@@ -48,7 +48,7 @@ def test_index_refuses_vectors_of_another_length(store, policies):
 
 def test_stored_vectors_give_the_same_answers(spark, store, policies):
     ingest_documents(store, policies)
-    requests = spark.createDataFrame([("r1", "secret rotation keys"), ("r2", " ")], "request_id string, query string")
+    requests = spark.createDataFrame([("r1", "badge readers keys"), ("r2", " ")], "request_id string, query string")
     stored = answer_from_index(store, requests)
     assert sorted(stored.collect()) == sorted(answer_requests(requests, policies).collect())
     assert all(r["passed"] for r in audit(stored, response_suite()).collect())
@@ -64,7 +64,7 @@ def test_incomplete_documents_break_the_response_contract(spark):
 
 
 def test_usage_is_stored_by_day_and_rolled_up(spark, store, policies):
-    requests = spark.createDataFrame([(f"r{n}", "secret keys" if n else " ") for n in range(4)], "request_id string, query string")
+    requests = spark.createDataFrame([(f"r{n}", "readers keys" if n else " ") for n in range(4)], "request_id string, query string")
     timings = spark.createDataFrame([(f"r{n}", DAYS[n % 2], 10.0 * n) for n in range(4)], "request_id string, executed_at timestamp, execution_time_ms double")
     assert log_answers(store, answer_requests(requests, policies), timings, "night-1") == 4
     assert log_answers(store, answer_requests(requests, policies), timings, "night-1") == 0
