@@ -130,12 +130,15 @@ ORACLES["cost_estimate"] = f"SELECT request_id, ({_COST})::DOUBLE AS total_cost_
 ORACLES["latency_from_times"] = """SELECT event_id, round(round(value * 1000)::BIGINT / 1000, 2)::DOUBLE AS execution_time_ms
     FROM events"""
 
+# The event that a turn takes its times from.
+_EVENT_OF = """event_id = (split_part(request_id, '-', 1)::BIGINT * 7919 + split_part(request_id, '-', 2)::BIGINT * 104729)
+    % (SELECT count(*) FROM events)"""
 _ANSWER_TELEMETRY = f"""{_RESPONSES}, telemetry AS (SELECT *, prompt_tokens + completion_tokens AS total_tokens, {_COST} AS total_cost_usd
     FROM (SELECT request_id, ts AS execution_timestamp, query AS user_query, value AS execution_time_ms,
         n::INT AS retrieved_docs_count, {_tokens("query")} AS prompt_tokens, {_tokens("analysis_output")} AS completion_tokens,
         CASE WHEN error IS NULL THEN 200 ELSE 500 END AS status_code, error AS error_message,
         best_score AS vector_similarity_score
-        FROM responses JOIN events ON event_id = split_part(request_id, '-', 1)::BIGINT))"""
+        FROM responses LEFT JOIN events ON {_EVENT_OF}))"""
 _MART = """, flagged AS (SELECT CAST(execution_timestamp AS DATE) AS run_date, status_code IS DISTINCT FROM 200 AND status_code IS NOT NULL AS failed, * FROM telemetry)
 SELECT run_date, count(request_id) AS total_agent_queries, count(*) FILTER (failed) AS error_count,
     round(100.0 * count(*) FILTER (failed) / nullif(count(request_id), 0), 2)::DOUBLE AS error_rate_percentage,
@@ -157,7 +160,7 @@ ORACLES["mart_agent_runs"] = f"WITH telemetry AS ({_EVENT_TELEMETRY}) {_MART}"
 ORACLES["mart_from_log"] = f"""WITH telemetry AS (SELECT *, {_COST} AS total_cost_usd FROM (
     SELECT request_id, ts AS execution_timestamp, value AS execution_time_ms, NULL::DOUBLE AS vector_similarity_score,
     prompt_tokens, completion_tokens, 200 AS status_code
-    FROM ({_TOKENS}) JOIN events ON event_id = split_part(request_id, '-', 1)::BIGINT)) {_MART}"""
+    FROM ({_TOKENS}) JOIN events ON {_EVENT_OF})) {_MART}"""
 
 # --- quality
 
@@ -238,7 +241,7 @@ SELECT doc_id, category, content_hash, 384 AS dim FROM second
 UNION ALL SELECT doc_id::VARCHAR, lang, md5(text), 384 FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT doc_id FROM second)"""
 ORACLES["index_sync_delta"] = """SELECT doc_id, lang, md5(text) AS content_hash FROM documents WHERE lang IN ('de', 'fr')"""
 ORACLES["compaction"] = "SELECT doc_id, lang, md5(text) AS content_hash FROM documents"
-ORACLES["sink_schema_evolution"] = """SELECT doc_id, lang, CASE WHEN lang != 'en' THEN n_chars END AS n_chars FROM documents"""
+ORACLES["sink_schema_evolution"] = """SELECT doc_id, lang, CASE WHEN lang IS DISTINCT FROM 'en' THEN n_chars END AS n_chars FROM documents"""
 ORACLES["ingest_metrics"] = f"""WITH c AS (SELECT count(*) AS n FROM ({_chunks()})), d AS (SELECT count(*) AS n FROM documents)
 SELECT 'success' AS status, 'Ingested ' || d.n || ' documents as ' || c.n || ' vectors.' AS message,
     d.n AS bronze, c.n AS silver, c.n AS gold FROM c, d"""

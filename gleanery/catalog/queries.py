@@ -16,7 +16,7 @@ from gleanery.operators.embedding import embed, gold_vectors
 from gleanery.operators.mart import daily_mart, latest_first
 from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, response_suite, silver_suite, unique_check
 from gleanery.operators.requests import accept_requests, reject_requests
-from gleanery.operators.search import auto_bits, knn, knn_lsh
+from gleanery.operators.search import knn, knn_lsh
 from gleanery.operators.telemetry import completion_tokens, cost_usd, derive_telemetry, latency_ms, prompt_tokens
 from gleanery.plans.document_index import DOCUMENT_VECTORS, ingest_documents
 from gleanery.plans.medallion import (
@@ -40,7 +40,7 @@ from gleanery.sources.documents import accept_documents, reject_documents
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
 from gleanery.streaming.mart import append_closed_days, publish_mart
-from gleanery.streaming.telemetry import accepted_telemetry, rejected_responses, write_files
+from gleanery.streaming.telemetry import accepted_telemetry, log_responses, rejected_responses, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,9 +157,7 @@ def knn_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def knn_lsh_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    corpus = i.corpus_vectors(spark, sf_dir)
-    bits = auto_bits(corpus.count(), per_bucket=200)
-    hits = knn_lsh(i.query_vectors(spark, sf_dir), corpus, 2, EMBEDDINGS_DIM, tables=8, bits=bits)
+    hits = knn_lsh(i.query_vectors(spark, sf_dir), i.corpus_vectors(spark, sf_dir), 2, EMBEDDINGS_DIM, tables=8, bits=8)
     return hits.withColumn("score", F.round("score", 4))
 
 
@@ -275,11 +273,19 @@ def mart_from_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Question and answer turns logged as responses, and the mart of the stored records."""
-    store = TableStore(spark, work_dir(spark, "tables"))
+    """Question and answer turns logged as responses, in two batches and a stream, merged, and the mart of the stored records."""
+    base = work_dir(spark, "log")
+    store = TableStore(spark, f"{base}/tables")
     no_docs = F.array().cast(DOCS_TYPE).alias("retrieved_docs")
     responses = i.exchanges(spark, sf_dir).select("*", no_docs, F.lit(None).cast("string").alias("error"))
-    log_answers(store, responses, i.timings(spark, sf_dir))
+    part, times = F.pmod(F.hash("request_id"), F.lit(3)), i.timings(spark, sf_dir)
+    for number in range(2):
+        log_answers(store, responses.where(part == number), times)
+    streamed = timed(responses.where(part == 2), times)
+    streamed.write.parquet(f"{base}/streamed")
+    arriving = spark.readStream.schema(streamed.schema).parquet(f"{base}/streamed")
+    log_responses(arriving, store, f"{base}/checkpoint").awaitTermination()
+    store.compact(TELEMETRY, "request_id")
     rebuild_mart(store)
     return as_doubles(latest_first(store.read(MART)))
 
@@ -365,17 +371,17 @@ def index_sync_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     source = rows.select("doc_id", "lang", F.md5("text").alias("content_hash"))
     held = F.when(F.col("lang") == "fr", F.concat(F.col("text"), F.lit("."))).otherwise(F.col("text"))
-    index = rows.where("lang != 'de'").select("doc_id", F.md5(held).alias("content_hash"))
+    index = rows.where("NOT lang <=> 'de'").select("doc_id", F.md5(held).alias("content_hash"))
     return changed_rows(source, index, "doc_id").select("doc_id", "lang", "content_hash")
 
 
 @query
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents appended language by language, then merged into one version."""
+    """Documents appended in four parts by language, then merged into one version."""
     store = TableStore(spark, work_dir(spark, "tables"))
     rows = i.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    for lang in ("en", "fr", "de", "es"):
-        store.append(rows.where(F.col("lang") == lang), "documents", version=lang)
+    for part in range(4):
+        store.append(rows.where(F.pmod(F.hash("lang"), F.lit(4)) == part), "documents", version=f"part-{part}")
     store.compact("documents", "doc_id")
     return store.read("documents").select("doc_id", "lang", F.md5("text").alias("content_hash"))
 
@@ -385,8 +391,8 @@ def sink_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second version brings a column that the first one lacks."""
     store = TableStore(spark, work_dir(spark, "tables"))
     rows = i.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    store.append(rows.where("lang = 'en'").drop("n_chars"), "documents", version="first")
-    store.append(rows.where("lang != 'en'"), "documents", version="second")
+    store.append(rows.where("lang <=> 'en'").drop("n_chars"), "documents", version="first")
+    store.append(rows.where("NOT lang <=> 'en'"), "documents", version="second")
     return store.read("documents")
 
 
@@ -435,7 +441,18 @@ def _stream_telemetry(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
 
 @query
 def stream_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _stream_telemetry(spark, sf_dir, work_dir(spark, "stream"))
+    """Events that arrive newest first, in three files and one micro-batch for each; nothing is too late."""
+    base = work_dir(spark, "stream")
+    events = i.table(spark, sf_dir, "events")
+    low, high = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    third = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(low)) * 3 / F.lit(high - low + 1))
+    for number in (2, 1, 0):
+        part = events.where(F.coalesce(third, F.lit(0)) == number)
+        part.coalesce(1).write.mode("append").parquet(f"{base}/events")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    store = TableStore(spark, f"{base}/tables")
+    log_responses(i.event_responses(arriving), store, f"{base}/checkpoint").awaitTermination()
+    records = store.read(TELEMETRY)
     return as_doubles(records.drop("run_date")).withColumn("execution_timestamp", F.unix_micros("execution_timestamp"))
 
 

@@ -41,9 +41,10 @@ def ingest_documents(
     """Embed documents and upsert them by id; rows without content are set aside."""
     run_ts = run_ts or datetime.now(timezone.utc)
     points = materialize(document_points(documents, run_ts, settings.embedder), "points")
-    current = store.read(DOCUMENT_VECTORS)
+    base = store.versions(DOCUMENT_VECTORS)
+    current = store.read(DOCUMENT_VECTORS, base)
     merged = points if current is None else upsert(current, points, "doc_id", "written_at")
-    store.replace(merged, DOCUMENT_VECTORS, suite=index_suite(settings.dim, "doc_id"))
+    store.replace(merged, DOCUMENT_VECTORS, suite=index_suite(settings.dim, "doc_id"), base=base)
     rejected = store.append(reject_documents(documents), REJECTED_DOCUMENTS)
     return RunReport(rows={DOCUMENT_VECTORS: points.count(), REJECTED_DOCUMENTS: rejected})
 

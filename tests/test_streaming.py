@@ -3,12 +3,13 @@ from datetime import datetime, timedelta
 import pytest
 
 from gleanery.operators.mart import daily_mart
-from gleanery.plans.medallion import BRONZE, GOLD, SILVER, IngestSettings, ingest_bronze
+from gleanery.plans.medallion import BRONZE, GOLD, SILVER, TELEMETRY, IngestSettings, ingest_bronze
+from gleanery.plans.usage_log import REJECTED_TELEMETRY
 from gleanery.sinks.tables import TableStore
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
 from gleanery.streaming.mart import append_closed_days, publish_mart
-from gleanery.streaming.telemetry import accepted_telemetry, publish_stream, rejected_responses, write_files
+from gleanery.streaming.telemetry import accepted_telemetry, log_responses, publish_stream, rejected_responses, write_files
 
 RESPONSE = (
     "request_id string, executed_at timestamp, execution_time_ms double, query string, "
@@ -67,6 +68,18 @@ def test_records_without_time_are_set_aside_and_missing_keys_derived(drops, spar
     assert [r["request_id"] for r in spark.read.parquet(path).collect()] == ["r2"]
 
 
+def test_log_keeps_late_rows(drops, spark, tmp_path):
+    """Days arrive newest first, with a replay and a row without time: accepted, rejected and replays add up to the input."""
+    store = TableStore(spark, str(tmp_path / "tables"))
+    drops.drop([response(n, START + timedelta(days=9, minutes=n)) for n in range(3)])
+    drops.drop([response(n, START + timedelta(days=5)) for n in (10, 11, 11)] + [response(12, None)])
+    drops.drop([response(20, START), response(1, START + timedelta(days=9, minutes=1))])
+    arriving = spark.readStream.schema(RESPONSE).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    log_responses(arriving, store, str(tmp_path / "cp-log")).awaitTermination()
+    assert ids(store.read(TELEMETRY)) == ["r0", "r1", "r10", "r11", "r2", "r20"]
+    assert ids(store.read(REJECTED_TELEMETRY)) == ["r12"]
+
+
 def replay_last_batch(checkpoint):
     """As if the job had died after publishing but before the batch was committed."""
     last = max((checkpoint / "commits").glob("[0-9]*"), key=lambda f: int(f.name))

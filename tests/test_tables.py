@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.quality import QualityError, Suite, not_null
 from gleanery.session import shared_base, work_dir
-from gleanery.sinks.tables import TableStore, changed_rows, latest_per_key, merged_schema, range_sorted, upsert
+from gleanery.sinks.tables import ConcurrentWrite, TableStore, changed_rows, latest_per_key, merged_schema, range_sorted, upsert
 
 
 @pytest.fixture
@@ -70,6 +70,34 @@ def test_replace(spark, store):
     assert held(store) == [(1, "A")]
 
 
+def test_replacement_loses_no_other_write(spark, store):
+    store.append(rows(spark, (1, "a")), "t")
+    base = store.versions("t")
+    store.append(rows(spark, (2, "b")), "t")
+    with pytest.raises(ConcurrentWrite):
+        store.replace(rows(spark, (9, "z")), "t", base=base)
+    assert held(store) == [(1, "a"), (2, "b")]
+    schema = rows(spark, (1, "a")).schema
+    for version in ("x", "y"):
+        store.stage(rows(spark, (3, version)), "t", version)
+    base = store.versions("t")
+    store.publish("t", "x", 1, schema, base)
+    with pytest.raises(ConcurrentWrite):
+        store.publish("t", "y", 1, schema, base)
+    assert held(store) == [(3, "x")]
+
+
+def test_versions_of_different_layouts(spark, store):
+    for day in (1, 2, 3):
+        store.append(rows(spark, (day, "a"), (day, "b")), "t", partition_by=["v"])
+    store.append(rows(spark, (4, "c")), "t")
+    store.append(rows(spark, (5, "d")), "t")
+    everything = [(k, v) for k in (1, 2, 3) for v in "ab"] + [(4, "c"), (5, "d")]
+    assert held(store) == everything
+    assert store.compact("t", "k") == 5 and len(store.versions("t")) == 2
+    assert held(store) == everything
+
+
 def test_compaction_merges_small_versions_only(spark, store):
     for n in range(4):
         store.append(spark.range(n * 100, n * 100 + 100).repartition(5), "t")
