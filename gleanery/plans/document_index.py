@@ -18,6 +18,7 @@ from gleanery.sources.documents import accept_documents, reject_documents
 
 DOCUMENT_VECTORS = "enterprise_docs"
 REJECTED_DOCUMENTS = "rejected_documents"
+POINTS = "doc_id string, payload struct<content:string,category:string>, embedding_vector array<float>"
 
 
 def document_points(documents: DataFrame, run_ts: datetime, factory: EmbedderFactory | None = None) -> DataFrame:
@@ -56,8 +57,17 @@ def answer_from_index(
     k: int = DOCS_PER_QUERY,
     limits: SearchLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """``answer_requests`` over the stored vectors; the corpus is not embedded again."""
-    points = store.read(DOCUMENT_VECTORS)
+    """``answer_requests`` over the stored vectors; the corpus is not embedded again. Without an index, or with one of
+    another dimension, every request carries that as its error."""
+    points, fault = store.read(DOCUMENT_VECTORS), None
+    if points is None:
+        points = store.spark.createDataFrame([], POINTS)
+        fault = "the document index does not exist"
+    else:
+        # A version is published only if all its vectors are of one length.
+        held = points.select(F.size("embedding_vector").alias("dim")).first()
+        if held and held["dim"] != settings.dim:
+            fault = f"the document index has {held['dim']} dimensions, not {settings.dim}"
     documents = points.select(F.col("doc_id").alias("id"), "payload.content", "payload.category")
     vectors = points.select(F.col("doc_id").alias("id"), F.col("embedding_vector").alias("vector"))
-    return answer_requests(requests, documents, vectors, settings.embedder, k, settings.dim, limits)
+    return answer_requests(requests, documents, vectors, settings.embedder, k, settings.dim, limits, fault)

@@ -8,7 +8,7 @@ from gleanery.operators.quality import QualityError, audit, response_suite
 from gleanery.plans.document_index import DOCUMENT_VECTORS, REJECTED_DOCUMENTS, answer_from_index, ingest_documents
 from gleanery.plans.medallion import MART, TELEMETRY, IngestSettings, rebuild_mart
 from gleanery.plans.question_answering import answer_requests
-from gleanery.plans.usage_log import log_answers
+from gleanery.plans.usage_log import REJECTED_TELEMETRY, log_answers
 from gleanery.sinks.tables import TableStore
 
 DAYS = [datetime(2024, 1, n) for n in (1, 2, 3)]
@@ -80,3 +80,27 @@ def test_source_folder_has_a_default():
     assert parse(["nightly", "--root", "/x"]).path == DEFAULT_SOURCE
     assert parse(["nightly", "/data/raw", "--root", "/x"]).path == "/data/raw"
     assert parse(["nightly", "--root", "/x", "/data/raw"]).path == "/data/raw"
+
+
+def test_an_index_that_cannot_be_searched_is_an_error_of_every_request(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "unsearchable"))
+    requests = spark.createDataFrame([("r1", "remote work"), ("r2", " ")], "request_id string, query string")
+    missing = {r["request_id"]: r for r in answer_from_index(store, requests).collect()}
+    assert "does not exist" in missing["r1"]["error"] and missing["r1"]["retrieved_docs"] == []
+    assert missing["r2"]["error"] == "Empty query provided to Retrieval Agent."
+    ingest_documents(store, spark.createDataFrame([("d", "remote work", "hr")], "id string, content string, category string"))
+    other = answer_from_index(store, requests.where("request_id = 'r1'"), IngestSettings(dim=100)).first()
+    assert "384 dimensions" in other["error"] and other["retrieval_step"] == "retrieval_failed"
+
+
+def test_answers_without_timing_are_set_aside(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "log"))
+    responses = spark.createDataFrame(
+        [("a", "q", None, "text", None), ("b", "q", None, "text", None)],
+        "request_id string, query string, retrieved_docs array<struct<id:string,content:string,category:string,score:double>>, "
+        "analysis_output string, error string",
+    )
+    times = spark.sql("SELECT 'a' request_id, timestamp'2024-01-01' + make_interval(0,0,0,i) executed_at, 1D execution_time_ms FROM (SELECT explode(sequence(0, 1)) i)")
+    assert log_answers(store, responses, times) == 1
+    assert log_answers(store, responses.withColumn("request_id", F.concat("request_id", F.lit("2"))), times) == 0
+    assert [r["request_id"] for r in store.read(REJECTED_TELEMETRY).orderBy("request_id").collect()] == ["a2", "b", "b2"]
