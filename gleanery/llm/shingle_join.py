@@ -6,8 +6,11 @@ as many segments as that takes, the cheapest first: segments that are empty or w
 and where too few are left, segments are indexed with the neighbourhood of one deletion, which also finds
 a segment that differs by one shingle. The larger set looks all its segments up. Sets that meet are verified exactly.
 
-Equal sets are one set throughout. A segment met by many sets first links them to one of them; only pairs whose sets are then
-still in different components are verified as well, so a large group of near copies costs one pair for each member.
+Equal sets are one set throughout. Every segment first links its sets to one of them, its centre. Sets of different components that
+still meet are then compared by what sets them apart from the centre: two sets that both differ from it little are in its
+component already, any others that are linked share some of their differences, so a prefix of the differences, joined on
+centre and shingle, finds them. A group of near copies thus costs rows in proportion to its size. Segments of few sets
+are spared the texts and compared pair by pair.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ PERCENT = 80
 SPARE, DELETABLE = 0.25, 16
 #: Contents of a segment that this many sets share in one task are counted; the commonest of them are avoided in indexing.
 COMMON, COMMON_KEPT = 8, 50_000
-#: Parts of a sketch, and rounds with a centre drawn anew before the rest of the pairs is looked at one by one.
-PARTS, ROUNDS = 64, 2
+#: Parts of a sketch.
+PARTS = 64
+#: Segments of up to so many sets are compared pair by pair, larger ones by the differences to their centre; both are exact.
+FEW = 32
 U = np.uint64
 
 
@@ -306,12 +311,15 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     keyed = found.select("digest", F.explode(roles).alias("x")).select("digest", F.col("x.role").alias("role"), F.explode("x.keys").alias("at"))
     same = Window.partitionBy("at")
     indexed = F.when(F.col("role") != 2, F.col("digest"))
-    met = keyed.select(
-        "at", "digest", "role", F.min(indexed).over(same).alias("centre"), F.min("digest").over(same).alias("low"), F.max("digest").over(same).alias("high"),
-        F.max(indexed).over(same).alias("last"),
-    )
-    met = met.where("centre is not null and low < high").select("at", "digest", "role", "centre", (F.col("centre") < F.col("last")).alias("more"))
+    met = keyed.select("at", "digest", "role", *[f("digest").over(same).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))], F.min(indexed).over(same).alias("first"))
+    met = met.where("first is not null and low < high").select("at", "digest", "role")
     met = materialize(met.dropDuplicates(["at", "digest", "role"]), "join-segments")
+    # The centre is the set that shares most segments with others, so near the middle of a group of copies; where only one is indexed, that one.
+    shared = met.withColumn("sets", F.count("*").over(same)).groupBy("digest").agg(F.sum("sets").alias("shared"))
+    ends = {"first": F.min(indexed).over(same), "last": F.max(indexed).over(same), "middle": F.max(F.struct("shared", "digest")).over(same)}
+    met = met.join(shared, "digest").withColumns(ends).withColumn("more", F.col("first") < F.col("last"))
+    met = met.select("at", "digest", "role", F.when(F.col("more"), F.col("middle.digest")).otherwise(F.col("first")).alias("centre"), "more")
+    met = materialize(met, "join-centred")
 
     sets = summaries.where("n_shingles > 0").groupBy("digest").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
 
@@ -319,24 +327,21 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
         return materialize(_linked(_pairs(pairs, sets, percent), rows, members, key, width, percent), "join-links")
 
     links = linked(met.where("digest != centre").select(F.col("centre").alias("x"), F.col("digest").alias("y")))
-    met = met.where("more").select("at", "digest", "role")
-    for turn in range(ROUNDS + 1):
-        # Only segments where sets of different components still meet.
-        now = met.join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
-        now = now.drop("component").withColumns({"least": F.min("part").over(same), "most": F.max("part").over(same)}).where("least < most")
-        now = materialize(now.drop("least", "most"), "join-apart")
-        if now.isEmpty():
-            break
-        met = now.select("at", "digest", "role")
-        if turn < ROUNDS:
-            drawn = F.when(F.col("role") != 2, F.struct(F.xxhash64("at", "digest", F.lit(turn)).alias("h"), F.col("digest").alias("x"), F.col("part").alias("x_part")))
-            centred = now.withColumn("c", F.min(drawn).over(same)).where("c.x_part != part")
-            pairs = centred.select(F.col("c.x").alias("x"), F.col("digest").alias("y"))
-        else:
-            left = now.where("role != 2").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
-            right = now.where("role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
-            pairs = left.join(right, "at").where("x_part != y_part").select("x", "y")
-        links = links.unionByName(linked(pairs))
+    # Only segments where sets of different components still meet.
+    now = met.where("more").drop("more").join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
+    span = {"least": F.min("part").over(same), "most": F.max("part").over(same), "sets": F.count("*").over(same)}
+    now = materialize(now.drop("component").withColumns(span).where("least < most").drop("least", "most"), "join-apart")
+
+    few = now.where(F.col("sets") <= FEW)
+    left = few.where("role != 2").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
+    right = few.where("role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
+    pairs = left.join(right, (left["at"] == right["at"]) & (left["x_part"] != right["y_part"])).select("x", "y")
+
+    many = now.where((F.col("sets") > FEW) & (F.col("digest") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("digest").alias("b"), "part")
+    many = materialize(many.distinct(), "join-centres")
+    apart = _with_texts(many, rows, members, key, width).mapInArrow(_differences(width, percent), _DIFFERENCES)
+    pairs = pairs.unionByName(_overlapping(materialize(apart, "join-differences"), percent))
+    links = links.unionByName(linked(pairs))
     return members, links
 
 
@@ -351,14 +356,75 @@ def _pairs(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _linked(pairs: DataFrame, rows: DataFrame, members: DataFrame, key: str, width: int, percent: int) -> DataFrame:
     pairs = materialize(pairs, "join-pairs")
+    return _with_texts(pairs, rows, members, key, width).mapInArrow(_verify(width, percent), "a long, b long")
+
+
+def _with_texts(pairs: DataFrame, rows: DataFrame, members: DataFrame, key: str, width: int) -> DataFrame:
+    """Pairs a, b of digests with text_a and text_b. The pairs are read several times."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     # One document stands for all with its set; its text is fetched by key and told from other rows of that key by its digest.
     chosen = members.where("n_shingles > 0").groupBy("digest").agg(F.min(key).alias(key)).join(asked, "digest")
     texts = rows.join(chosen.select(key).distinct(), key, "left_semi").mapInArrow(_texts(width), "digest long, text string")
     texts = materialize(texts.dropDuplicates(["digest"]).join(asked, "digest", "left_semi"), "join-texts")
     full = pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
-    full = full.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(_verify(width, percent), "a long, b long")
+    return full.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a").select(*pairs.columns, "text_a", "text_b")
+
+
+_DIFFERENCES = "centre long, element long, place int, digest long, part long, n int, apart int, near boolean"
+
+
+def _differences(width: int, percent: int):
+    """Rows (a, b, part, text_a, text_b) to the prefix of the shingles in which b's set and its centre a's differ.
+
+    Shingles that the centre lacks come first, each kind in hash order. Let r be (100 - percent) / (100 + percent): x and y are linked if
+    they differ in at most r (x + y) shingles. With d(x) differences to the centre c, they share at least
+    (d(x) + d(y) - r (x + y)) / 2 of them. Where that is no bound, both are linked to c. A set not linked to c thus shares
+    d(x) less the most that it and any partner may differ in; one that is linked to c shares, with a set that is not,
+    more than (d(x) + r (c - x)) / 2.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in _DIFFERENCES.split(", ")]
+        over, under = 100 + percent, 100 - percent
+        for batch in batches:
+            for rows in slices(batch, "text_b"):
+                texts = rows.column("text_a").dictionary_encode()
+                a_row, a = shingles(texts.dictionary, width)
+                b_row, b = shingles(rows.column("text_b"), width)
+                a_at = np.searchsorted(a_row, np.arange(len(texts.dictionary) + 1))
+                b_at = np.searchsorted(b_row, np.arange(rows.num_rows + 1))
+                elements, sizes, apart, near = [], [], [], []
+                for i, c in enumerate(texts.indices.to_numpy()):
+                    centre, own = a[a_at[c] : a_at[c + 1]], b[b_at[i] : b_at[i + 1]]
+                    differ = np.concatenate([np.setdiff1d(own, centre, assume_unique=True), np.setdiff1d(centre, own, assume_unique=True)])
+                    d, n, m = len(differ), len(own), len(centre)
+                    linked = d * over <= (n + m) * under
+                    shared = (d * over + under * (m - n)) // (2 * over) + 1 if linked else max(1, d - (n + n * 100 // percent) * under // over)
+                    elements.append(differ[: d - shared + 1])
+                    sizes.append(n)
+                    apart.append(d)
+                    near.append(linked)
+                counts = np.array([len(e) for e in elements], np.int64)
+                row = np.repeat(np.arange(rows.num_rows), counts)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                flat = np.concatenate(elements).view(np.int64) if elements else np.empty(0, np.int64)
+                take = [rows.column(c).take(pa.array(row)) for c in ("a", "b", "part")]
+                numbers = [pa.array(np.array(x, kind)[row]) for x, kind in ((sizes, np.int32), (apart, np.int32), (near, bool))]
+                yield pa.RecordBatch.from_arrays([take[0], pa.array(flat), pa.array(place.astype(np.int32)), take[1], take[2], *numbers], names=names)
+
+    return run
+
+
+def _overlapping(apart: DataFrame, percent: int) -> DataFrame:
+    """x, y of different components whose differences to one centre share a shingle early enough for a link."""
+    x = apart.where("not near").select("centre", "element", *[F.col(c).alias(f"x_{c}") for c in ("digest", "part", "place", "n", "apart")])
+    y = apart.select("centre", "element", *[F.col(c).alias(f"y_{c}") for c in ("digest", "part", "place", "n", "apart", "near")])
+    rest = F.least(F.col("x_apart") - F.col("x_place"), F.col("y_apart") - F.col("y_place"))
+    enough = 2 * (100 + percent) * rest >= (100 + percent) * (F.col("x_apart") + F.col("y_apart")) - (100 - percent) * (F.col("x_n") + F.col("y_n"))
+    alike = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+    once = F.col("y_near") | (F.col("x_digest") < F.col("y_digest"))
+    on = (x["centre"] == y["centre"]) & (x["element"] == y["element"]) & (F.col("x_part") != F.col("y_part")) & enough & alike & once
+    return x.join(y, on).select(F.col("x_digest").alias("x"), F.col("y_digest").alias("y"))
 
 
 def _texts(width: int):

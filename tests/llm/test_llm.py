@@ -248,21 +248,40 @@ def test_shingle_join(spark, documents):
         for _ in range(rng.integers(0, 3)):
             t[rng.integers(0, len(t))] = f"w{rng.integers(0, 400)}"
         texts.append(" ".join(t))
+    equals_all_pairs(spark, texts)
+
+
+@pytest.mark.parametrize("length, most", [(60, 8), (150, 12)])
+def test_shingle_join_of_one_group(spark, length, most):
+    """A group of near copies, many of them too far from its middle to be linked with that, but some with one another."""
+    rng = np.random.default_rng(length)
+    base, texts = [f"w{x}" for x in rng.integers(0, 5000, length)], []
+    for _ in range(400):
+        t = list(base)
+        for _ in range(rng.integers(0, most)):
+            at, kind = rng.integers(0, len(t)), rng.integers(0, 3)
+            t[at : at + (0, 1, 4)[kind]] = [f"v{rng.integers(0, 9)}"] if kind < 2 else []
+        texts.append(" ".join(t))
+    equals_all_pairs(spark, texts)
+
+
+def equals_all_pairs(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sets = [frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)]) for w in (t.split() for t in texts)]
-    root = list(range(500))
+    root = list(range(len(texts)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for i in range(500):
+    for i in range(len(texts)):
         for j in range(i):
             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_join.grouped(df).collect()} == {i: (len(sets[i]), find(i)) for i in range(500)}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_join.grouped(df).collect()}
+    assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
 
 
 def test_pipeline(spark, sf):
