@@ -37,7 +37,7 @@ COMMON, COMMON_KEPT = 8, 50_000
 #: Parts of a sketch.
 PARTS = 64
 #: Segments of up to so many sets are compared pair by pair, larger ones by the differences to their centre; both are exact.
-FEW = 32
+FEW = 8
 U = np.uint64
 
 
