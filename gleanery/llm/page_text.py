@@ -1,8 +1,9 @@
 """Main text of web pages: parts that name themselves as furniture go, and so do subtrees that a site repeats.
 
 A page's markup is read with one pattern into open and closed elements. Every subtree of the region that could hold the article
-is hashed; Spark counts on how many pages of a host each hash occurs, and subtrees on at least half of a host's pages
-are its template and are deleted. What remains is the text, block by block.
+is hashed; Spark counts on how many different pages of a host each hash occurs, and subtrees on at least half of them
+are its template and are deleted. Pages with the same text are one page there, so copies of an article are no template of it.
+What remains is the text, block by block.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gleanery.session import materialize
 
-#: A subtree is a template from this many pages of a host on, if these are this share of the host's pages.
+#: A subtree is a template from this many different pages of a host on, if these are this share of the host's different pages.
 LEAST_PAGES, LEAST_SHARE = 10, 0.5
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -157,22 +158,33 @@ def host(url: F.Column) -> F.Column:
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every text that the task meets on a host: its hash and those of its page's subtrees, behind a null for the page itself."""
+    seen: set[tuple[str, int]] = set()
     for batch in batches:
-        hosts, hashes = [], []
+        hosts, texts, hashes = [], [], []
         for name, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            found = list(Page(source or "").subtrees())
-            hosts += [name] * (len(found) + 1)
-            hashes += [None, *found]
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+            page = Page(source or "")
+            text = xxhash.xxh64_intdigest(page.text().encode("utf-8", "surrogatepass")) - 2**63
+            if (name, text) not in seen:
+                seen.add((name, text))
+                hosts.append(name)
+                texts.append(text)
+                hashes.append([None, *page.subtrees()])
+        columns = [pa.array(hosts, pa.string()), pa.array(texts, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "text", "hashes"])
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """host, hashes: the subtrees that recur on at least ``least_pages`` and ``least_share`` of a host's pages.
+    """host, hashes: the subtrees that recur on at least ``least_pages`` and ``least_share`` of a host's different pages.
 
-    As a subtree must lie on a share of all pages, a host has few of them, however many pages it has. Counts are made in
-    the tasks before they are shuffled, so a host with a third of all pages is no single task's.
+    Pages of a host whose texts are equal before templates go are one page. As a subtree must lie on a share of all pages, a
+    host has few of them, however many pages it has. Copies leave and counts are made in the tasks before they are shuffled,
+    so a host with a third of all pages is no single task's, nor is a page with as many copies.
     """
-    counts = pages.where("host != ''").mapInArrow(_hashes, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
+    found = pages.where("host != ''").mapInArrow(_hashes, "host string, text long, hashes array<long>")
+    # Copies that differ outside their text may differ in subtrees: any of them stands for all.
+    once = found.groupBy("host", "text").agg(F.min("hashes").alias("hashes"))
+    counts = once.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts = materialize(counts.where((F.col("n") >= least_pages) | F.col("hash").isNull()), "page-subtrees")
     total = counts.where("hash is null").select("host", F.col("n").alias("pages"))
     often = counts.where("hash is not null").join(total, "host").where(F.col("n") >= F.col("pages") * least_share)
@@ -193,8 +205,8 @@ def _texts(kind: pa.DataType | None = None):
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """key, url, text, n_chars (code points) of every page; the text is empty where nothing remains.
 
-    A null page is empty. Pages without a host in their url are read without a template. Repeated rows stay and count as pages of
-    their host each; other columns are ignored; an empty table stays empty. Pages are read whole.
+    A null page is empty. Pages without a host in their url are read without a template. Repeated rows stay; pages of a
+    host with the same text count once there; other columns are ignored; an empty table stays empty. Pages are read whole.
     """
     rows = pages.select(F.col(key), F.col(url).alias("url"), F.col(source).alias("html"), host(F.col(url)).alias("host"))
     found = materialize(templates(rows), "page-templates")

@@ -125,6 +125,18 @@ def test_pages(spark):
     assert page_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    article = "<nav>menu {0}</nav><article><h1>Head</h1><p>one and the same</p></article>"
+    rows = [(i, "http://a.com/x", article.format("")) for i in range(30)]
+    rows += [(100 + i, f"http://b.com/x?utm_source={i}", article.format(i)) for i in range(30)]
+    rows += [(200 + i, f"http://b.com/{i}", f"<article><p>own {i}</p></article>") for i in range(12)]
+    rows += [(300 + i, f"http://c.com/{i}", f"<body><div><p>box</p></div><p>own {i % 12}</p></body>") for i in range(36)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in page_text.extract(df).collect()}
+    assert len(got) == len(rows) and all(got[i] == "Head one and the same" for i in (*range(30), *range(100, 130)))
+    assert all(got[200 + i] == f"own {i}" for i in range(12)) and all(got[300 + i] == f"own {i % 12}" for i in range(36))
+
+
 def test_kneser_ney_sums_to_one_and_takes_every_case(spark, documents):
     rows = kneser_ney.score(documents, F.crc32(F.col("doc_id").cast("string")) % 5 == 1).collect()
     assert len(rows) == len(TEXTS) + 1 and all(np.isfinite(r["score"]) for r in rows)
