@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.components import components
@@ -199,7 +199,7 @@ def _allocate(keys: np.ndarray, sizes: np.ndarray, every: int, needed: int, comm
 
 
 def _summaries(width: int, percent: int):
-    """Of each text: its key, size and digest. At the end: contents of segments that many sets of the task share."""
+    """Of each text: its key, place, size and digest. At the end: contents of segments that many sets of the task share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen, held = Bands(percent), set(), []
@@ -220,15 +220,15 @@ def _summaries(width: int, percent: int):
                         held.append(mixed(sums + _places(band, count))[full > 0])
                 nothing = pa.nulls(part.num_rows, pa.int64())
                 sketch = pa.array([x.tobytes() for x in sketches(row, value, part.num_rows)], pa.binary())
-                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(found.view(np.int64)), sketch, nothing, nothing]
-                yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "sketch", "common", "sets"])
+                columns = [part.column(0), part.column("place"), pa.array(sizes, pa.int64()), pa.array(found.view(np.int64)), sketch, nothing, nothing]
+                yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "place", "n_shingles", "digest", "sketch", "common", "sets"])
         if held:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             many = counts >= COMMON
             keys, counts = keys[many], counts[many]
             none = pa.nulls(len(keys), pa.int64())
-            columns = [pa.nulls(len(keys), part.schema.field(0).type), none, none, pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "n_shingles", "digest", "sketch", "common", "sets"])
+            columns = [pa.nulls(len(keys), part.schema.field(0).type), none, none, none, pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], "place", "n_shingles", "digest", "sketch", "common", "sets"])
 
     return run
 
@@ -292,20 +292,25 @@ def _verify(width: int, percent: int):
     return run
 
 
+def place(key: str, text: str) -> Column:
+    """A number for a row by its key and text, null keys included."""
+    return F.xxhash64(key, text)
+
+
 def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, links): ``members`` has key, n_shingles, digest of every row; ``links`` has pairs a < b of digests whose sets are
+    """(members, links): ``members`` has key, place, n_shingles, digest of every row; ``links`` has pairs a < b of digests whose sets are
     linked: enough of them to connect every two sets that links connect, not all within a group.
     """
-    rows = docs.select(F.col(key), F.col(text).alias("text"))
+    rows = docs.select(F.col(key), F.col(text).alias("text"), place(key, text).alias("place"))
     kind = rows.schema[0].dataType.simpleString()
-    summaries = rows.mapInArrow(_summaries(width, percent), f"{key} {kind}, n_shingles long, digest long, sketch binary, common long, sets long")
+    summaries = rows.mapInArrow(_summaries(width, percent), f"{key} {kind}, place long, n_shingles long, digest long, sketch binary, common long, sets long")
     summaries = materialize(summaries, "join-summaries")
-    members = summaries.where("digest is not null").select(key, "n_shingles", "digest")
+    members = summaries.where("digest is not null").select(key, "place", "n_shingles", "digest")
     common = summaries.where("common is not null").groupBy("common").agg(F.sum("sets").alias("n")).orderBy(F.desc("n"), "common")
     known = sorted((r["common"] % 2**64, r["n"]) for r in common.limit(COMMON_KEPT).collect())
     avoided = np.array([k for k, _ in known], U), np.array([n for _, n in known], np.int64)
 
-    found = rows.mapInArrow(_keys(width, percent, avoided), "digest long, both array<long>, indexed array<long>, looked_up array<long>")
+    found = rows.select("text").mapInArrow(_keys(width, percent, avoided), "digest long, both array<long>, indexed array<long>, looked_up array<long>")
     # 3: indexed and looked up, 1: indexed, 2: looked up.
     roles = F.array(*[F.struct(F.lit(r).alias("role"), F.col(c).alias("keys")) for r, c in ((3, "both"), (1, "indexed"), (2, "looked_up"))])
     keyed = found.select("digest", F.explode(roles).alias("x")).select("digest", F.col("x.role").alias("role"), F.explode("x.keys").alias("at"))
@@ -324,7 +329,7 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     sets = summaries.where("n_shingles > 0").groupBy("digest").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return materialize(_linked(_pairs(pairs, sets, percent), rows, members, key, width, percent), "join-links")
+        return materialize(_linked(_pairs(pairs, sets, percent), rows, members, width, percent), "join-links")
 
     links = linked(met.where("digest != centre").select(F.col("centre").alias("x"), F.col("digest").alias("y")))
     # Only segments where sets of different components still meet.
@@ -339,7 +344,7 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
 
     many = now.where((F.col("sets") > FEW) & (F.col("digest") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("digest").alias("b"), "part")
     many = materialize(many.distinct(), "join-centres")
-    apart = _with_texts(many, rows, members, key, width).mapInArrow(_differences(width, percent), _DIFFERENCES)
+    apart = _with_texts(many, rows, members, width).mapInArrow(_differences(width, percent), _DIFFERENCES)
     pairs = pairs.unionByName(_overlapping(materialize(apart, "join-differences"), percent))
     links = links.unionByName(linked(pairs))
     return members, links
@@ -354,17 +359,17 @@ def _pairs(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(_possible(percent), "a long, b long")
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, members: DataFrame, key: str, width: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
     pairs = materialize(pairs, "join-pairs")
-    return _with_texts(pairs, rows, members, key, width).mapInArrow(_verify(width, percent), "a long, b long")
+    return _with_texts(pairs, rows, members, width).mapInArrow(_verify(width, percent), "a long, b long")
 
 
-def _with_texts(pairs: DataFrame, rows: DataFrame, members: DataFrame, key: str, width: int) -> DataFrame:
+def _with_texts(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """Pairs a, b of digests with text_a and text_b. The pairs are read several times."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    # One document stands for all with its set; its text is fetched by key and told from other rows of that key by its digest.
-    chosen = members.where("n_shingles > 0").groupBy("digest").agg(F.min(key).alias(key)).join(asked, "digest")
-    texts = rows.join(chosen.select(key).distinct(), key, "left_semi").mapInArrow(_texts(width), "digest long, text string")
+    # One row stands for all with its set; its text is fetched by its place, so rows without a key count too.
+    chosen = members.where("n_shingles > 0").groupBy("digest").agg(F.min("place").alias("place")).join(asked, "digest")
+    texts = rows.join(chosen.select("place").distinct(), "place", "left_semi").select("text").mapInArrow(_texts(width), "digest long, text string")
     texts = materialize(texts.dropDuplicates(["digest"]).join(asked, "digest", "left_semi"), "join-texts")
     full = pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
     return full.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a").select(*pairs.columns, "text_a", "text_b")
@@ -438,17 +443,23 @@ def _texts(width: int):
     return run
 
 
+def _parts(members: DataFrame, links: DataFrame) -> DataFrame:
+    """digest, part of every set that is not empty: sets that links connect have the same part."""
+    sets = members.where("n_shingles > 0").select("digest").distinct()
+    found = components(links).withColumnRenamed("node", "digest")
+    return sets.join(found, "digest", "left").select("digest", F.coalesce("component", "digest").alias("part"))
+
+
 def grouped(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id of every row: the smallest key that links reach, its own included.
 
     Null texts and texts without words have an empty set and are linked with nothing, not even with each other. Rows that
-    repeat a key are judged by their own texts. A null key is never the smallest; a row with one and without
-    links has a null component. An empty table stays empty; other columns are ignored.
+    repeat a key are judged by their own texts. A null key is never the smallest, and connects like any other; a row that
+    reaches none but null keys has a null component. An empty table stays empty; other columns are ignored.
     """
     members, links = join(docs, percent, width, key, text)
     least = members.where("n_shingles > 0").groupBy("digest").agg(F.min(key).alias("least"))
-    parts = components(links).withColumnRenamed("node", "digest")
-    tagged = least.join(parts, "digest", "left").withColumn("part", F.coalesce("component", "digest"))
+    tagged = least.join(_parts(members, links), "digest")
     by_part = tagged.groupBy("part").agg(F.min("least").alias("component_id"))
     of_set = tagged.select("digest", "part").join(by_part, "part").select("digest", "component_id")
     none = members.where("n_shingles = 0").select(key, "n_shingles", F.col(key).alias("component_id"))
@@ -456,13 +467,19 @@ def grouped(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: st
 
 
 def first_of_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the rows whose key is their component's smallest, with all their columns.
+    """One row of each group, that of the smallest key, with all its columns; of several rows of that key the one of the smallest place.
 
-    Rows without words, and rows with a null key that are linked with nothing, stay. Of rows that repeat both key and set only one
-    stays; which one is settled by the order of their columns' hash.
+    Groups are made of rows, so rows that repeat a key may be in different groups. A row with a null key is the one of its
+    group only where all keys are null. Rows without words stay. Of rows that repeat both key and text only one stays; which one is
+    settled by the order of their columns' hash.
     """
-    groups = grouped(docs, percent, width, key, text)
-    keep = groups.where(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("__kept")).distinct()
-    rows = docs.join(keep, F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
-    same = Window.partitionBy(F.coalesce(F.col(key).cast("string"), F.lit("")), F.xxhash64(text)).orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("__copy", F.row_number().over(same)).where("__copy = 1").drop("__copy")
+    members, links = join(docs, percent, width, key, text)
+    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "place")
+    of_set = members.where("n_shingles > 0").groupBy("digest").agg(F.min(row).alias("row"))
+    first = of_set.join(_parts(members, links), "digest").groupBy("part").agg(F.min("row").alias("row")).select("row.key", "row.place")
+    wordless = members.where("n_shingles = 0").select(F.col(key).alias("key"), "place").distinct()
+    keep = first.unionByName(wordless).select(F.col("key").alias("__kept"), F.col("place").alias("__at"))
+    rows = docs.withColumn("__place", place(key, text))
+    rows = rows.join(keep, (F.col("__place") == F.col("__at")) & F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
+    same = Window.partitionBy(key, "__place").orderBy(F.xxhash64(*docs.columns))
+    return rows.withColumn("__copy", F.row_number().over(same)).where("__copy = 1").drop("__copy", "__place")

@@ -277,6 +277,20 @@ def test_shingle_join_of_one_group(spark, length, most):
     equals_all_pairs(spark, texts)
 
 
+def test_shingle_join_takes_rows_not_keys(spark):
+    """Rows with null or repeated ids connect, and leave their groups, like any other."""
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(t) for t in ([*base[:55], *"abcde"], base, [*"fghij", *base[5:]])]
+    other = [" ".join(f"{c}{i}" for i in range(40)) for c in "xyz"]
+    rows = [(4, near[0]), (None, near[1]), (9, near[2]), (7, other[0]), (7, other[1]), (3, other[1] + " more"), (8, other[2]), (8, other[2] + " more"), (None, other[2] + " end"), (None, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["component_id"] or 0, r["doc_id"] or 0) for r in shingle_join.grouped(df).collect())
+    assert got == [(0, 0), (3, 3), (3, 7), (4, 0), (4, 4), (4, 9), (5, 5), (7, 7), (8, 0), (8, 8), (8, 8)]
+    kept = [(r["doc_id"], r["text"]) for r in shingle_join.first_of_groups(df).collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [3, 4, 5, 7, 8] and [t for i, t in kept if i is None] == [""]
+    assert (7, other[0]) in kept and (7, other[1]) not in kept
+
+
 def equals_all_pairs(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sets = [frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)]) for w in (t.split() for t in texts)]
