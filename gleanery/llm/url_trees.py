@@ -1,7 +1,7 @@
 """URL verdicts: rules on host and path, and gradient-boosted trees on lexical features where no rule fits.
 
-DataFrame expressions only. The URLs that a rule fits are the labelled ones; a bounded sample of them is binned, written
-once, and each level of a tree is one aggregate over it: gradient and hessian sums by leaf, feature and bin. Only these
+DataFrame expressions only. The URLs that a rule fits are the labelled ones; a bounded sample of the different ones, of
+both labels and weighted by the rows it stands for, is binned, written once, and each level of a tree is one aggregate over it: gradient and hessian sums by leaf, feature and bin. Only these
 sums (leaves x features x bins) reach the driver. The trees then score every URL as plain column expressions.
 """
 
@@ -23,10 +23,10 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Labelled rows that trees are fitted on, at most.
+#: Different labelled URLs that trees are fitted on, at most.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, BINS, RATE, SMOOTH = 10, 3, 16, 0.3, 1.0
-#: The commonest suffixes with statistics of their own; the rest share the overall rate.
+#: The commonest suffixes whose statistics a model holds for use without a join; ``suffixes`` has all of them.
 SUFFIXES = 200
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CHARACTERS = LOWER + UPPER + "0123456789-._~:/?#=&%+"
@@ -82,12 +82,14 @@ def suffix(host: Column) -> Column:
 @dataclass(frozen=True)
 class Trees:
     """``splits``: for each tree and inner node the feature and threshold (go right where value >= threshold), or None;
-    ``leaves``: a value for each leaf; ``rates``: blocked share by suffix, ``base``: the overall log-odds and share."""
+    ``leaves``: a value for each leaf; ``rates``: blocked share of the commonest suffixes, ``base``: the overall log-odds and share,
+    ``suffixes``: suffix and suffix_rate of all suffixes."""
 
     splits: tuple[tuple[tuple[str, float] | None, ...], ...]
     leaves: tuple[tuple[float, ...], ...]
     rates: tuple[tuple[str, float], ...]
     base: tuple[float, float]
+    suffixes: DataFrame | None = None
 
 
 def _node(columns: dict[str, Column], splits: Sequence[tuple[str, float] | None], depth: int) -> Column:
@@ -130,28 +132,43 @@ def rate_of(host: Column, trees: Trees) -> Column:
     return F.coalesce(F.try_element_at(table, suffix(host)), F.lit(trees.base[1]))
 
 
+def with_suffix_rate(rows: DataFrame, trees: Trees) -> DataFrame:
+    """Rows with the ``suffix_rate`` of their ``host``, the overall one where no labelled row has the suffix."""
+    joined = rows.withColumn("suffix", suffix(F.col("host"))).join(trees.suffixes, "suffix", "left").drop("suffix")
+    return joined.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(trees.base[1])))
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH, bins: int = BINS) -> Trees:
-    """Trees from ``url``, ``host``, ``path``, ``label`` (1: block), on at most ``sample_rows`` rows in hash order.
+    """Trees from ``url``, ``host``, ``path``, ``label`` (1: block), on at most ``sample_rows`` different URLs in hash order.
 
+    Half of them are of each label, where there are enough; each weighs as many rows as it has, scaled so that the sample has as
+    many rows of its label as all. Suffix rates and the overall rate are of all rows.
     With one class or no rows there is nothing to split on: every URL gets that class (allow where there are no rows).
     """
     import math
 
-    rows = labelled.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
-    sample = materialize(rows, "url-sample")
-    n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    urls = materialize(labelled.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n")), "url-labels")
+    totals = {r["label"]: (r["urls"], r["n"]) for r in urls.groupBy("label").agg(F.count("*").alias("urls"), F.sum("n").alias("n")).collect()}
+    n, positive = sum(t[1] for t in totals.values()), totals.get(1, (0, 0))[1]
     share = (positive + SMOOTH * 0.5) / (n + SMOOTH) if n else 0.0
     odds = math.log(share / (1 - share)) if n else -1.0
-    counted = sample.groupBy(suffix(F.col("host")).alias("s")).agg(F.count("*").alias("c"), F.sum("label").alias("p"))
-    counted = counted.orderBy(F.desc("c"), "s").limit(SUFFIXES).collect()
-    rates = tuple((r["s"], (r["p"] + 10 * share) / (r["c"] + 10)) for r in counted)
-    empty = Trees((), (), rates, (odds, share))
+    counted = urls.groupBy(suffix(F.col("host")).alias("suffix")).agg(F.sum("n").alias("c"), F.sum(F.col("n") * F.col("label")).alias("p"))
+    counted = materialize(counted.select("suffix", "c", ((F.col("p") + 10 * share) / (F.col("c") + 10)).alias("suffix_rate")), "url-suffixes")
+    rates = tuple((r["suffix"], r["suffix_rate"]) for r in counted.orderBy(F.desc("c"), "suffix").limit(SUFFIXES).collect())
+    empty = Trees((), (), rates, (odds, share), counted.select("suffix", "suffix_rate"))
     if not 0 < positive < n:
         return empty
-    columns = features(F.col("url"), F.col("host"), F.col("path"), rate_of(F.col("host"), empty))
+    half = max(1, sample_rows // 2)
+    room = {label: max(half, sample_rows - totals[1 - label][0]) for label in (0, 1)}
+    drawn = [urls.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(room[label]) for label in (0, 1)]
+    sample = materialize(drawn[0].unionByName(drawn[1]), "url-sample")
+    got = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    scale = F.when(F.col("label") == 1, totals[1][1] / got[1]).otherwise(totals[0][1] / got[0])
+    sample = with_suffix_rate(sample.withColumn("n", F.col("n") * scale), empty)
+    columns = features(F.col("url"), F.col("host"), F.col("path"), F.col("suffix_rate"))
     names = list(columns)
-    values = sample.select("label", *[c.cast("double").alias(name) for name, c in columns.items()])
-    data = materialize(values.groupBy("label", *names).agg(F.count("*").alias("n")).coalesce(1), "url-features")
+    values = sample.select("label", "n", *[c.cast("double").alias(name) for name, c in columns.items()])
+    data = materialize(values.groupBy("label", *names).agg(F.sum("n").alias("n")).coalesce(1), "url-features")
     cuts = data.agg(*[F.percentile_approx(name, [i / bins for i in range(1, bins)], F.lit(1000), ).alias(name) for name in names]).first()
     edges = {name: sorted(set(cuts[name])) for name in names}
     here = {name: F.col(name) for name in names}
@@ -170,7 +187,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = TREES,
             sums = rows.groupBy("leaf", "x.f", "x.bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
             weights = _split(sums, splits, names, edges, weights)
         leaves = tuple(RATE * g / (h + SMOOTH) for g, h in (weights.get(node, (0.0, 0.0)) for node in range(2**depth, 2 ** (depth + 1))))
-        grown = Trees((*grown.splits, tuple(splits)), (*grown.leaves, leaves), rates, grown.base)
+        grown = Trees((*grown.splits, tuple(splits)), (*grown.leaves, leaves), rates, grown.base, grown.suffixes)
     return grown
 
 
@@ -211,8 +228,8 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Seque
     rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     labelled = rows.where(F.col("fit").isNotNull()).select("url", "host", "path", (F.col("fit.verdict") == "block").cast("int").alias("label"))
     trees = fit(labelled, sample_rows)
-    columns = features(F.col("url"), F.col("host"), F.col("path"), rate_of(F.col("host"), trees))
-    valued = rows.select(key, "host", "path", "fit", *[c.cast("double").alias(f"f_{name}") for name, c in columns.items()])
+    columns = features(F.col("url"), F.col("host"), F.col("path"), F.col("suffix_rate"))
+    valued = with_suffix_rate(rows, trees).select(key, "host", "path", "fit", *[c.cast("double").alias(f"f_{name}") for name, c in columns.items()])
     score = 1 / (1 + F.exp(-log_odds({name: F.col(f"f_{name}") for name in columns}, trees)))
     verdict = F.coalesce(F.col("fit.verdict"), F.when(score >= 0.5, "block").otherwise("allow"))
     return valued.select(key, "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"), score.alias("block_score"))

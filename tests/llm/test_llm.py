@@ -86,6 +86,15 @@ def test_trees_learn(spark):
     assert right == 200
 
 
+def test_copies_of_a_url_leave_room_for_others(spark):
+    one = [(f"http://h{i}.org/{'1' * (i % 2 * 9)}x", f"h{i}.org", f"/{'1' * (i % 2 * 9)}x", i % 2) for i in range(40)]
+    df = spark.createDataFrame([r for r in one for _ in range(60)], "url string, host string, path string, label int")
+    model = url_trees.fit(df, sample_rows=40)
+    assert any(model.splits)
+    columns = url_trees.features(F.col("url"), F.col("host"), F.col("path"), url_trees.rate_of(F.col("host"), model))
+    assert df.where((url_trees.log_odds(columns, model) >= 0) == (F.col("label") == 1)).count() == len(one) * 60
+
+
 def test_quality(documents, sf):
     rows = quality_cascade.judge(documents).collect()
     assert len(rows) == len(TEXTS) + 1 and quality_cascade.judge(documents.limit(0)).count() == 0
