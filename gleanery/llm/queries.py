@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import kneser_ney, packing, page_text, personal_data, piece_codec, quality_cascade, shingle_join, top_k, toxicity, url_trees
+from gleanery.llm import (
+    best_position,
+    collocations,
+    kneser_ney,
+    packing,
+    page_text,
+    personal_data,
+    piece_codec,
+    quality_cascade,
+    shingle_join,
+    simhash,
+    top_k,
+    toxicity,
+    url_trees,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +68,18 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.grouped(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +93,9 @@ QUERIES = {
         op8_piece_codec,
         op9_packing,
         op10_shingle_join,
+        op11_simhash,
+        op12_best_position,
+        op13_collocations,
     )
 }
 
@@ -133,4 +162,46 @@ WITH RECURSIVE w AS (
 )
 SELECT w.doc_id, coalesce(n_shingles, 0) AS n_shingles, least(w.doc_id, coalesce(other, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op12_best_position": r"""
+WITH t AS (
+    SELECT row_number() OVER () AS d, doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+    FROM documents
+), p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM t) GROUP BY ALL
+), f AS (SELECT term, count(*) AS df FROM p GROUP BY term
+), c AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM t WHERE len(terms) > 0
+), q AS (
+    SELECT DISTINCT item_id, unnest(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+        lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term
+    FROM benchmark
+), w AS (SELECT item_id, term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM q JOIN f USING (term), c
+), s AS (
+    SELECT item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(terms) * docs) // all_terms)))) AS BIGINT) AS score
+    FROM w JOIN p USING (term) JOIN t USING (d), c GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50""",
+    "op13_collocations": r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS p, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), w AS (SELECT p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), f AS (
+    SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM w, unnest(range(1, 6)) AS s(size), unnest(range(1, len(words) + 2 - size)) AS r(i) GROUP BY ALL
+), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND f >= 100
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n, CAST((1000 * a::HUGEINT * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM c JOIN n USING (lang), unnest(range(1, c.size)) AS u(k)
+    JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:k], ' ')
+    JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(words[k + 1:], ' ')
+), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+    SELECT DISTINCT c.lang, array_to_string(c.words[i:i + part - 1], ' ') AS phrase, c.a AS longer
+    FROM c, unnest(range(2, c.size)) AS z(part), unnest(range(1, c.size + 2 - part)) AS u(i)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.lang = lowest.lang AND held.phrase = lowest.phrase AND 100 * longer >= 100 * a)
+QUALIFY rank <= 2000""",
 }
