@@ -33,8 +33,8 @@ BUDGET, GROUPS = 1 << 18, 1 << 20
 FILTER_BITS = 1 << 27
 #: The prefixes' hashes fall into so many ranges; a group is a run of them.
 RANGES = 1 << 16
-#: Rows that a task combines before it hands them on.
-COMBINED = 1 << 20
+#: Bytes of text that a task takes at a time, and rows that it combines before it hands them on.
+TEXT_BYTES, COMBINED = 1 << 21, 1 << 18
 BREAK = "."
 U = np.uint64
 
@@ -73,7 +73,7 @@ class Words:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", TEXT_BYTES):
             words = Words(part)
             own = words.code >= 0
             both, n = np.unique(words.lang[own] * len(words.words) + words.code[own], return_counts=True)
@@ -85,7 +85,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash and count of pairs, combined over the slices of a task while they are few enough."""
     keys, counts = np.empty(0, U), np.empty(0, np.int64)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", TEXT_BYTES):
             pairs = Words(part).pairs()
             found, n = np.unique(pairs[pairs > 0], return_counts=True)
             keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
@@ -147,7 +147,7 @@ def _suffixes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, held, rows = shared.value, [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 found = _of_slice(Words(part), partition)
                 held.append(found)
                 rows += found.num_rows

@@ -13,12 +13,12 @@ import pyarrow.compute as pc
 ROWS, TEXT_BYTES = 1024, 1 << 23
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, text_bytes: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of bounded text size; a longer text is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
-        if i > start and (held + size > TEXT_BYTES or i - start >= ROWS):
+        if i > start and (held + size > text_bytes or i - start >= ROWS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
