@@ -34,7 +34,7 @@ FILTER_BITS = 1 << 27
 #: The prefixes' hashes fall into so many ranges; a group is a run of them.
 RANGES = 1 << 16
 #: Bytes of text that a task takes at a time, and rows that it combines before it hands them on.
-TEXT_BYTES, COMBINED = 1 << 21, 1 << 18
+TEXT_BYTES, COMBINED = 1 << 21, 1 << 19
 BREAK = "."
 U = np.uint64
 

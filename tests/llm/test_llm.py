@@ -39,7 +39,7 @@ def words(text):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "benchmark"):
         duck.sql(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     result = duck.execute(ORACLES[name])
