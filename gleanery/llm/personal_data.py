@@ -95,7 +95,7 @@ def passes(kind: str, text: Column) -> Column:
     if kind == "email":
         return F.lit(True)
     if kind == "ip":
-        part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+        part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
         return text.rlike(rf"^{part}(?:\.{part}){{3}}$")
     size = F.char_length(_digits(text))
     if kind == "card":
@@ -264,6 +264,11 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _equals(value: int) -> Callable[[Column], Column]:
+    # A lambda with a second parameter, be it a default, would be handed the element's index.
+    return lambda x: x == value
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_email, n_ip, n_card, n_phone, base_sha256 (of the base spans), spans (all spans) of every whole text.
 
@@ -273,7 +278,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     model = train(rows)
     found = rows.select(key, accepted(F.col("text"), model).alias("spans"))
     base = F.filter("spans", lambda x: x["base"])
-    counts = [F.size(F.filter("spans", lambda x, i=i: x["base"] & (x["kind"] == i))).cast("long").alias(f"n_{k}") for i, (k, _) in enumerate(BASE)]
+    kinds = F.transform(base, lambda x: x["kind"])
+    counts = [F.size(F.filter(kinds, _equals(i))).cast("long").alias(f"n_{k}") for i, (k, _) in enumerate(BASE)]
     return found.select(key, *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 

@@ -193,6 +193,7 @@ def test_personal_data(spark, documents, sf):
         spans = base_spans(r["text"] or "")
         assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest(), r
         assert set(spans) <= set(r["spans"].split(","))
+        assert [r[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s.startswith(k) for s in spans) for k in ("email", "ip", "card", "phone")]
 
 
 def base_spans(text):
@@ -211,6 +212,28 @@ def base_spans(text):
     return out
 
 
+def test_every_form_of_an_address_part(spark):
+    """Zeros, leading zeros and both sides of the bound, in each of the four places."""
+    parts = ["0", "00", "000", "007", "10", "99", "100", "199", "200", "249", "250", "255", "256", "0255", "0256", "300", "1000"]
+    texts = [f"ip {'.'.join([*['1'] * place, part, *['2'] * (3 - place)])} end" for part in parts for place in range(4)]
+    texts += ["0.0.0.0", "127.0.0.1 10.0.0.1", "255.255.255.255", "0" * 4000 + ".0.0.1", "0" * 4000 + "999.0.0.1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = personal_data.judge(df).collect()
+    for r in rows:
+        spans = base_spans(texts[r["doc_id"]])
+        assert r["n_ip"] == sum(s.startswith("ip:") for s in spans), texts[r["doc_id"]]
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert sum(r["n_ip"] for r in rows) > 40
+
+
+def test_overlapping_spans_are_replaced_as_one(spark):
+    """An address within a longer number, a mail whose host is an address, spans that touch."""
+    texts = ["a@1.2.3.4 x", "+1 10.20.30.40 5", "1.2.3.4 5.6.7.8", "é a@b.cd;c@d.ef"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in personal_data.redact(df).collect()}
+    assert found == {0: "[EMAIL] x", 1: "[PHONE]", 2: "[IP] [IP]", 3: "é [EMAIL];[EMAIL]"}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(0, "mail a@b.cd or 1.2.3.4!", 1), (1, None, 1), (2, "nothing", 1)], "doc_id long, text string, extra int")
     assert [r["text"] for r in personal_data.redact(df).orderBy("doc_id").collect()] == ["mail [EMAIL] or [IP]!", None, "nothing"]
