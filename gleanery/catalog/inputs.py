@@ -40,16 +40,22 @@ def request_id() -> F.Column:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """request_id, query: the user turns."""
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'")
-    return turns.select(request_id().alias("request_id"), F.col("text").alias("query"))
+    """request_id, query: the text of every turn."""
+    return table(spark, sf_dir, "conversations").select(request_id().alias("request_id"), F.col("text").alias("query"))
+
+
+def unanswerable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, turn, request_id, query: for every system turn a blank request, for every assistant turn an empty one, with ids of their own."""
+    turns = table(spark, sf_dir, "conversations").where("role IN ('system', 'assistant')")
+    blank = F.col("role") == "system"
+    kind = F.when(blank, "blank").otherwise("empty")
+    query = F.when(blank, " ").otherwise("")
+    return turns.select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn", kind).alias("request_id"), query.alias("query"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn as a request: system turns stand for blank questions, assistant turns for empty ones."""
-    query = F.when(F.col("role") == "user", F.col("text")).when(F.col("role") == "system", F.lit(" ")).otherwise(F.lit(""))
-    turns = table(spark, sf_dir, "conversations")
-    return turns.select(request_id().alias("request_id"), query.alias("query"))
+    """The whole text of every turn as a request, and blank and empty requests beside them."""
+    return questions(spark, sf_dir).unionByName(unanswerable(spark, sf_dir).select("request_id", "query"))
 
 
 def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +70,11 @@ def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """request_id, executed_at, execution_time_ms: the turns take them from events spread over all days."""
+    """request_id, executed_at, execution_time_ms: the requests take them from events spread over all days."""
     events = table(spark, sf_dir, "events")
     number = (F.col("conv_id").cast("bigint") * 7919 + F.col("turn") * 104729) % F.lit(max(1, events.count()))
     turns = table(spark, sf_dir, "conversations").select(number.alias("event_id"), request_id().alias("request_id"))
+    turns = turns.unionByName(unanswerable(spark, sf_dir).select(number.alias("event_id"), "request_id"))
     events = events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("executed_at"),

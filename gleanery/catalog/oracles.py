@@ -7,10 +7,10 @@ ORACLES: dict[str, str] = {}
 # Blank characters as str.split() sees them.
 _WORD = r"[^\s\p{Z}\x0b\x1c-\x1f\x85]+"
 
-_QUESTIONS = "SELECT conv_id || '-' || turn AS request_id, text AS query FROM conversations WHERE role = 'user'"
-_REQUESTS = """SELECT conv_id || '-' || turn AS request_id,
-    CASE role WHEN 'user' THEN text WHEN 'system' THEN ' ' ELSE '' END AS query FROM conversations"""
-_DISTINCT_QUESTIONS = "SELECT DISTINCT text AS id, text FROM conversations WHERE role = 'user'"
+_REQUESTS = """SELECT conv_id || '-' || turn AS request_id, text AS query FROM conversations
+    UNION ALL SELECT conv_id || '-' || turn || '-blank', ' ' FROM conversations WHERE role = 'system'
+    UNION ALL SELECT conv_id || '-' || turn || '-empty', '' FROM conversations WHERE role = 'assistant'"""
+_DISTINCT_QUESTIONS = "SELECT DISTINCT text AS id, text FROM conversations"
 _DOCUMENT_TEXTS = "SELECT doc_id::VARCHAR AS id, text FROM documents"
 
 
@@ -143,7 +143,8 @@ _MART = """, flagged AS (SELECT CAST(execution_timestamp AS DATE) AS run_date, s
 SELECT run_date, count(request_id) AS total_agent_queries, count(*) FILTER (failed) AS error_count,
     round(100.0 * count(*) FILTER (failed) / nullif(count(request_id), 0), 2)::DOUBLE AS error_rate_percentage,
     round(max(execution_time_ms), 2) AS max_latency_ms, round(mean(execution_time_ms), 2) AS avg_latency_ms,
-    round(mean(vector_similarity_score), 4) AS avg_cosine_similarity, round(sum(total_cost_usd), 4)::DOUBLE AS total_spend_usd,
+    CAST(floor((2 * sum(round(vector_similarity_score * 10000)::BIGINT) + count(vector_similarity_score))::DOUBLE
+        / nullif(2 * count(vector_similarity_score), 0)) AS DOUBLE) / 10000 AS avg_cosine_similarity, round(sum(total_cost_usd), 4)::DOUBLE AS total_spend_usd,
     sum(completion_tokens)::BIGINT AS total_completion_tokens, sum(prompt_tokens)::BIGINT AS total_prompt_tokens,
     sum(completion_tokens + prompt_tokens)::BIGINT AS grand_total_tokens
     FROM flagged GROUP BY ALL"""
