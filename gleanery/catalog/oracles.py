@@ -76,6 +76,7 @@ ORACLES["cosine_pairs"] = """SELECT a.vec_id,
     round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
     FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
 ORACLES["knn_top2"] = f"SELECT query_id, id, round(score, 4) AS score, rank::INT AS rank FROM ({_VECTOR_HITS})"
+ORACLES["knn_top2_blocks"] = ORACLES["knn_top2"]
 ORACLES["knn_top3_chunks"] = f"""WITH chunks AS ({_CHUNK_IDS}), {_hashed_hits("SELECT chunk_id AS id, chunk_text AS text FROM chunks", 3)}
 SELECT md5(query) AS query_id, rank::INT AS rank, chunk_id, file_path, chunk_text, round(score, 4) AS score
 FROM hits JOIN chunks ON chunk_id = id"""

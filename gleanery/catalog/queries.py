@@ -13,10 +13,11 @@ from gleanery.functions.vectors import cosine, vector_as_strings
 from gleanery.operators.answers import DOCS_TYPE, analysis_text, retrieved_docs, with_payload
 from gleanery.operators.chunking import explode_chunks, silver_chunks
 from gleanery.operators.embedding import embed, gold_vectors
+from gleanery.operators.ivf import IvfIndex
 from gleanery.operators.mart import daily_mart, latest_first
 from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, response_suite, silver_suite, unique_check
 from gleanery.operators.requests import accept_requests, reject_requests
-from gleanery.operators.search import knn, knn_lsh
+from gleanery.operators.search import SearchLimits, knn, knn_lsh
 from gleanery.operators.telemetry import completion_tokens, cost_usd, derive_telemetry, latency_ms, prompt_tokens
 from gleanery.plans.document_index import DOCUMENT_VECTORS, ingest_documents
 from gleanery.plans.medallion import (
@@ -155,9 +156,26 @@ def knn_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumn("score", F.round("score", 4))
 
 
+@query
+def knn_top2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits where the queries are too many to be sent at once: blocks of 256, with floors from 256 rows."""
+    limits = SearchLimits(broadcast_bytes=256 * 4 * EMBEDDINGS_DIM, floor_rows=256)
+    hits = knn(i.query_vectors(spark, sf_dir), i.corpus_vectors(spark, sf_dir), 2, EMBEDDINGS_DIM, limits)
+    return hits.withColumn("score", F.round("score", 4))
+
+
+@query
+def knn_ivf_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors indexed in cells, stored, loaded and searched."""
+    path = work_dir(spark, "ivf")
+    IvfIndex.build(i.corpus_vectors(spark, sf_dir), path, EMBEDDINGS_DIM, k=2)
+    hits = IvfIndex.load(spark, path).search(i.query_vectors(spark, sf_dir), 2)
+    return hits.withColumn("score", F.round("score", 4))
+
+
 @query
 def knn_lsh_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = knn_lsh(i.query_vectors(spark, sf_dir), i.corpus_vectors(spark, sf_dir), 2, EMBEDDINGS_DIM, tables=8, bits=8)
+    hits = knn_lsh(i.query_vectors(spark, sf_dir), i.corpus_vectors(spark, sf_dir), 2, EMBEDDINGS_DIM, tables=16, bits=4)
     return hits.withColumn("score", F.round("score", 4))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.embedding import EmbedderFactory, embed
 from gleanery.operators.quality import index_suite
-from gleanery.operators.search import DEFAULT_LIMITS, SearchLimits
+from gleanery.operators.search import DEFAULT_LIMITS, Searcher, SearchLimits, knn
 from gleanery.plans.medallion import IngestSettings, RunReport
 from gleanery.plans.question_answering import DOCS_PER_QUERY, answer_requests
 from gleanery.session import materialize, spread_small
@@ -56,6 +56,7 @@ def answer_from_index(
     settings: IngestSettings = IngestSettings(),
     k: int = DOCS_PER_QUERY,
     limits: SearchLimits = DEFAULT_LIMITS,
+    search: Searcher = knn,
 ) -> DataFrame:
     """``answer_requests`` over the stored vectors; the corpus is not embedded again. Without an index, or with one of
     another dimension, every request carries that as its error."""
@@ -70,4 +71,4 @@ def answer_from_index(
             fault = f"the document index has {held['dim']} dimensions, not {settings.dim}"
     documents = points.select(F.col("doc_id").alias("id"), "payload.content", "payload.category")
     vectors = points.select(F.col("doc_id").alias("id"), F.col("embedding_vector").alias("vector"))
-    return answer_requests(requests, documents, vectors, settings.embedder, k, settings.dim, limits, fault)
+    return answer_requests(requests, documents, vectors, settings.embedder, k, settings.dim, limits, fault, search)
