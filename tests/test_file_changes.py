@@ -1,0 +1,161 @@
+import os
+import time
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.operators.quality import QualityError, Suite, not_null
+from gleanery.plans import file_changes
+from gleanery.plans.file_changes import CHUNKS, FILES, SEARCH, VECTORS, FileTables, ingest_changed_files
+from gleanery.plans.medallion import IngestSettings
+from gleanery.sinks.buckets import BucketedTable
+
+DAYS = [datetime(2024, 5, n, tzinfo=timezone.utc) for n in range(1, 6)]
+SETTINGS = IngestSettings(chunk_size=20, chunk_overlap=5)
+
+
+def windows(text):
+    return [text[i : i + 20] for i in range(0, len(text), 15)]
+
+
+@pytest.fixture
+def raw(tmp_path):
+    folder = tmp_path / "raw"
+    (folder / "deep").mkdir(parents=True)
+    for name, text in {"grown": "g" * 30, "shrunk": "short text " * 9, "replaced": "one thing", "gone": "leaves", "same": "stays as it is " * 4, "deep/x": "Zürich 東京"}.items():
+        (folder / f"{name}.txt").write_text(text)
+    return folder
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    return FileTables(spark, str(tmp_path / "tables"), buckets=8)
+
+
+def held(tables, name):
+    return sorted((Path(r["file_path"]).name, r["chunk_text"]) for r in tables.read(name).collect())
+
+
+def newest(raw):
+    return sorted((p.name, w) for p in raw.rglob("*.txt") for w in windows(p.read_text()))
+
+
+def test_layers_follow_grown_shrunk_replaced_and_deleted_files(spark, raw, tables):
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[0])
+    assert all(held(tables, layer) == newest(raw) for layer in (CHUNKS, VECTORS, SEARCH))
+    kept = {r["chunk_id"] for r in tables.read(VECTORS).collect()}
+    (raw / "grown.txt").write_text("g" * 30 + "and more of it " * 5)
+    (raw / "shrunk.txt").write_text("short text ")
+    (raw / "replaced.txt").write_text("something else")
+    (raw / "gone.txt").unlink()
+    (raw / "new.txt").write_text("new " * 10)
+    report = ingest_changed_files(tables, str(raw), SETTINGS, DAYS[1])
+    assert all(held(tables, layer) == newest(raw) for layer in (CHUNKS, VECTORS, SEARCH))
+    assert report.rows[CHUNKS] == report.rows[VECTORS] == report.rows[SEARCH] > 0
+    rows = tables.read(VECTORS).collect()
+    assert all(len(r["embedding_vector"]) == 384 for r in rows)
+    # What a file keeps is not embedded again: it carries the time of the first run.
+    assert {r["ingested_at"].astimezone(timezone.utc) for r in rows if r["chunk_id"] in kept} == {DAYS[0]}
+    feed = {(Path(r["file_path"]).stem, r["change"]) for r in spark.read.parquet(tables.feed_path).where(F.col("seen_at") == F.lit(DAYS[1])).collect()}
+    assert feed == {("grown", "update"), ("shrunk", "update"), ("replaced", "update"), ("gone", "delete"), ("new", "insert")}
+
+
+def test_a_run_without_changes_reads_and_writes_nothing(spark, raw, tables, tmp_path):
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[0])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables").rglob("bucket=*/*.parquet")}
+    asked = []
+    listing = file_changes.scan_text_files(spark, str(raw)).select("path", "modificationTime", "length")
+    empty = spark.createDataFrame([], "path string, content binary")
+    report = file_changes.carry_changes(tables, listing, lambda paths: asked.append(paths.count()) or empty, SETTINGS, DAYS[1])
+    assert asked == [0] and sum(report.rows.values()) == 0
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "tables").rglob("bucket=*/*.parquet")}
+
+
+def test_touched_and_backdated_files(spark, raw, tables):
+    """A touched file is read and found the same; a file with an old time is new all the same; no other content is read."""
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[0])
+    os.utime(raw / "same.txt", (time.time() + 60, time.time() + 60))
+    (raw / "old.txt").write_text("copied in with its old time")
+    os.utime(raw / "old.txt", (1e9, 1e9))
+    read = []
+    listing = file_changes.scan_text_files(spark, str(raw)).select("path", "modificationTime", "length")
+
+    def contents(paths):
+        read.extend(Path(r[0]).name for r in paths.collect())
+        return file_changes.read_text_files(spark, str(raw), paths)
+
+    report = file_changes.carry_changes(tables, listing, contents, SETTINGS, DAYS[1])
+    assert sorted(read) == ["old.txt", "same.txt"] and report.rows[FILES] == 2
+    assert held(tables, CHUNKS) == newest(raw) and report.rows[CHUNKS] == 2
+
+
+def test_a_failed_run_is_repeated(spark, raw, tables):
+    with pytest.raises(QualityError, match="dimension"):
+        ingest_changed_files(tables, str(raw), IngestSettings(20, 5, dim=100), DAYS[0])
+    assert tables.read(VECTORS).count() == 0 and tables.read(FILES).where("content_hash IS NOT NULL").count() == 0
+    (raw / "gone.txt").unlink()
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[1])
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[2])
+    assert held(tables, VECTORS) == held(tables, SEARCH) == newest(raw)
+
+
+def test_all_files_leave(spark, raw, tables):
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[0])
+    for p in raw.rglob("*.txt"):
+        p.unlink()
+    ingest_changed_files(tables, str(raw), SETTINGS, DAYS[1])
+    assert [tables.read(name).count() for name in (FILES, CHUNKS, VECTORS, SEARCH)] == [0, 0, 0, 0]
+
+
+@pytest.fixture
+def points(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, v int, at int").schema
+    return BucketedTable(spark, str(tmp_path / "points"), schema, "k", buckets=16)
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, v int, at int, change string, extra int").drop("extra") if rows and len(rows[0]) == 5 else spark.createDataFrame(list(rows), "k string, v int, at int, change string")
+
+
+def rows_of(table):
+    return sorted((r["k"], r["v"]) for r in table.read().collect())
+
+
+def files_of(table):
+    return {p: p.stat().st_mtime_ns for p in Path(table.path).rglob("*.parquet")}
+
+
+def test_a_small_change_writes_its_own_folders_only(spark, points):
+    points.apply(changes(spark, *[(f"k{n}", n, 0, "upsert") for n in range(200)]))
+    before = files_of(points)
+    assert points.apply(changes(spark, ("k7", 70, 1, "upsert"), ("k9", None, 1, "delete"))) == {"upsert": 1, "delete": 1}
+    after = files_of(points)
+    touched = {p.parent.name for p in set(before) ^ set(after)}
+    assert 1 <= len(touched) <= 2 and len(set(before) & set(after)) >= 14 and all(before[p] == after[p] for p in set(before) & set(after))
+    assert rows_of(points) == sorted((f"k{n}", 70 if n == 7 else n) for n in range(200) if n != 9)
+
+
+def test_changes_of_one_key_are_reduced_to_the_last(spark, points):
+    points.apply(changes(spark, ("a", 1, 0, "upsert"), ("b", 1, 0, "upsert"), ("c", 1, 0, "upsert")))
+    rows = [("a", 2, 1, "upsert"), ("a", 3, 2, "upsert"), ("b", 5, 1, "upsert"), ("b", None, 2, "delete"), ("c", None, 1, "delete"), ("c", 9, 2, "upsert"), ("d", None, 1, "delete")]
+    assert points.apply(changes(spark, *rows), order=["at"]) == {"upsert": 2, "delete": 2}
+    assert rows_of(points) == [("a", 3), ("c", 9)]
+
+
+def test_a_failed_suite_leaves_the_table_as_it_was(spark, points):
+    points.apply(changes(spark, ("a", 1, 0, "upsert")))
+    before = files_of(points)
+    with pytest.raises(QualityError):
+        points.apply(changes(spark, ("a", None, 1, "upsert")), Suite("s", [not_null("v")]))
+    assert rows_of(points) == [("a", 1)] and files_of(points) == before
+
+
+def test_an_emptied_folder_and_an_empty_table(spark, points):
+    assert points.read().count() == 0 and points.apply(changes(spark)) == {"upsert": 0, "delete": 0}
+    points.apply(changes(spark, ("a", 1, 0, "upsert")))
+    points.apply(changes(spark, ("a", None, 1, "delete")))
+    assert rows_of(points) == []
+    points.apply(changes(spark, ("a", 2, 2, "upsert")))
+    assert rows_of(points) == [("a", 2)]
