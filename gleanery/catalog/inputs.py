@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,6 +122,20 @@ def corpus_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
+def file_states(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
+    """path, modificationTime, content of documents as files; ``changed`` is a later state: German ones deleted, French ones replaced, Spanish
+    ones cut to half, English ones of even length extended."""
+    rows = table(spark, sf_dir, "documents")
+    text, modified = F.col("text"), F.lit(RUN_TS).cast("timestamp")
+    if changed:
+        rows = rows.where("lang IS DISTINCT FROM 'de'")
+        grown = (F.col("lang") == "en") & (F.length("text") % 2 == 0)
+        half = F.substring("text", F.lit(1), F.ceil(F.length("text") / 2).cast("int"))
+        text = F.when(F.col("lang") == "fr", F.reverse("text")).when(F.col("lang") == "es", half).when(grown, F.concat("text", F.lit(" "), "text")).otherwise(F.col("text"))
+        modified = F.when(F.col("lang").isin("fr", "es") | grown, F.lit(RUN_TS + timedelta(days=1))).otherwise(F.lit(RUN_TS)).cast("timestamp")
+    return rows.select(file_path().alias("path"), modified.alias("modificationTime"), text.cast("binary").alias("content"))
+
+
 def export_text_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Each document as a ``.txt`` file of its own in nested folders. The writer ends a file with a line feed."""
     rows = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")

@@ -248,6 +248,12 @@ ORACLES["ingest_metrics"] = f"""WITH c AS (SELECT count(*) AS n FROM ({_chunks()
 SELECT 'success' AS status, 'Ingested ' || d.n || ' documents as ' || c.n || ' vectors.' AS message,
     d.n AS bronze, c.n AS silver, c.n AS gold FROM c, d"""
 
+_CHANGED = """(SELECT source || '/' || doc_id AS file_path, CASE WHEN lang = 'fr' THEN reverse(text)
+    WHEN lang = 'es' THEN substring(text, 1, ceil(length(text) / 2)::BIGINT)
+    WHEN lang = 'en' AND length(text) % 2 = 0 THEN text || ' ' || text ELSE text END AS text
+    FROM documents WHERE lang IS DISTINCT FROM 'de')"""
+ORACLES["changed_files"] = f"SELECT file_path, chunk_pos::INT AS chunk_pos, chunk_text FROM ({_chunks(_CHANGED)})"
+
 # Exported files end in a line feed.
 _FILES = "(SELECT text || chr(10) AS text FROM documents)"
 ORACLES["nightly_run"] = f"""WITH c AS (SELECT count(*) AS n FROM ({_chunks(_FILES)})),

@@ -19,7 +19,8 @@ from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, res
 from gleanery.operators.requests import accept_requests, reject_requests
 from gleanery.operators.search import SearchLimits, knn, knn_lsh
 from gleanery.operators.telemetry import completion_tokens, cost_usd, derive_telemetry, latency_ms, prompt_tokens
-from gleanery.plans.document_index import DOCUMENT_VECTORS, ingest_documents
+from gleanery.plans.document_index import document_table, ingest_documents
+from gleanery.plans.file_changes import CHUNKS, FileTables, carry_changes
 from gleanery.plans.medallion import (
     BRONZE,
     GOLD,
@@ -375,10 +376,10 @@ def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents handed over, then again with some of them changed or incomplete."""
     store = TableStore(spark, work_dir(spark, "tables"))
-    ingest_documents(store, i.documents(spark, sf_dir), run_ts=i.RUN_TS)
+    ingest_documents(store, i.documents(spark, sf_dir), run_ts=i.RUN_TS, buckets=16)
     changed = _partial_documents(spark, sf_dir).withColumn("content", F.concat("content", F.lit(" (revised)")))
-    ingest_documents(store, changed, run_ts=i.RUN_TS + timedelta(days=1))
-    points = store.read(DOCUMENT_VECTORS)
+    ingest_documents(store, changed, run_ts=i.RUN_TS + timedelta(days=1), buckets=16)
+    points = document_table(store, 16).read()
     content_hash, dim = F.md5("payload.content").alias("content_hash"), F.size("embedding_vector").alias("dim")
     return points.select("doc_id", "payload.category", content_hash, dim)
 
@@ -423,6 +424,16 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(row, "status string, message string, bronze bigint, silver bigint, gold bigint")
 
 
+@query
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files, and again after German ones were deleted, French ones replaced, Spanish ones cut and English ones of some sources extended."""
+    tables = FileTables(spark, work_dir(spark, "files"), buckets=16)
+    for states in (i.file_states(spark, sf_dir), i.file_states(spark, sf_dir, changed=True)):
+        listing = states.select("path", "modificationTime", F.octet_length("content").cast("bigint").alias("length"))
+        carry_changes(tables, listing, lambda paths, states=states: states.join(paths, F.col("path") == F.col("file_path"), "left_semi"), run_ts=i.RUN_TS)
+    return tables.read(CHUNKS).select("file_path", "chunk_pos", "chunk_text")
+
+
 @query
 def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two nights over the same files: the second finds nothing new and leaves the tables as they are."""

@@ -6,17 +6,19 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.operators.embedding import EmbedderFactory, embed
 from gleanery.operators.quality import index_suite
 from gleanery.operators.search import DEFAULT_LIMITS, Searcher, SearchLimits, knn
 from gleanery.plans.medallion import IngestSettings, RunReport
 from gleanery.plans.question_answering import DOCS_PER_QUERY, answer_requests
-from gleanery.session import materialize, spread_small
-from gleanery.sinks.tables import TableStore, latest_per_key, upsert
+from gleanery.session import spread_small
+from gleanery.sinks.buckets import BUCKETS, UPSERT, BucketedTable
+from gleanery.sinks.tables import TableStore, latest_per_key
 from gleanery.sources.documents import accept_documents, reject_documents
 
-DOCUMENT_VECTORS = "enterprise_docs"
+DOCUMENT_VECTORS = "document_vectors"
 REJECTED_DOCUMENTS = "rejected_documents"
 POINTS = "doc_id string, payload struct<content:string,category:string>, embedding_vector array<float>"
 
@@ -36,18 +38,30 @@ def document_points(documents: DataFrame, run_ts: datetime, factory: EmbedderFac
     return embed(single, "payload.content", "embedding_vector", factory)
 
 
+def document_table(store: TableStore, buckets: int = BUCKETS) -> BucketedTable:
+    """The points of all documents by id, in folders of key hashes. ``buckets`` is set once for a store."""
+    schema = f"{POINTS}, content_hash string, written_at timestamp"
+    return BucketedTable(store.spark, f"{store.root}/{DOCUMENT_VECTORS}", T.StructType.fromDDL(schema), "doc_id", buckets=buckets)
+
+
 def ingest_documents(
-    store: TableStore, documents: DataFrame, settings: IngestSettings = IngestSettings(), run_ts: datetime | None = None
+    store: TableStore,
+    documents: DataFrame,
+    settings: IngestSettings = IngestSettings(),
+    run_ts: datetime | None = None,
+    version: str | None = None,
+    buckets: int = BUCKETS,
 ) -> RunReport:
-    """Embed documents and upsert them by id; rows without content are set aside."""
+    """Embed documents and upsert them by id; rows without content are set aside.
+
+    Only the folders that the ids fall into are rewritten. A call that is repeated under the same ``version`` name ends in the same
+    points and sets nothing aside twice.
+    """
     run_ts = run_ts or datetime.now(timezone.utc)
-    points = materialize(document_points(documents, run_ts, settings.embedder), "points")
-    base = store.versions(DOCUMENT_VECTORS)
-    current = store.read(DOCUMENT_VECTORS, base)
-    merged = points if current is None else upsert(current, points, "doc_id", "written_at")
-    store.replace(merged, DOCUMENT_VECTORS, suite=index_suite(settings.dim, "doc_id"), base=base)
-    rejected = store.append(reject_documents(documents), REJECTED_DOCUMENTS)
-    return RunReport(rows={DOCUMENT_VECTORS: points.count(), REJECTED_DOCUMENTS: rejected})
+    points = document_points(documents, run_ts, settings.embedder).withColumn("change", F.lit(UPSERT))
+    written = document_table(store, buckets).apply(points, index_suite(settings.dim, "doc_id"), ["written_at"])
+    rejected = store.append(reject_documents(documents), REJECTED_DOCUMENTS, version)
+    return RunReport(rows={DOCUMENT_VECTORS: written[UPSERT], REJECTED_DOCUMENTS: rejected})
 
 
 def answer_from_index(
@@ -60,12 +74,12 @@ def answer_from_index(
 ) -> DataFrame:
     """``answer_requests`` over the stored vectors; the corpus is not embedded again. Without an index, or with one of
     another dimension, every request carries that as its error."""
-    points, fault = store.read(DOCUMENT_VECTORS), None
-    if points is None:
-        points = store.spark.createDataFrame([], POINTS)
+    table, fault = document_table(store), None
+    points = table.read()
+    if not table.exists():
         fault = "the document index does not exist"
     else:
-        # A version is published only if all its vectors are of one length.
+        # A change is taken over only if all its vectors are of one length.
         held = points.select(F.size("embedding_vector").alias("dim")).first()
         if held and held["dim"] != settings.dim:
             fault = f"the document index has {held['dim']} dimensions, not {settings.dim}"

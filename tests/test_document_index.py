@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gleanery.jobs import DEFAULT_SOURCE, parse
 from gleanery.operators.quality import QualityError, audit, response_suite
-from gleanery.plans.document_index import DOCUMENT_VECTORS, REJECTED_DOCUMENTS, answer_from_index, ingest_documents
+from gleanery.plans.document_index import DOCUMENT_VECTORS, REJECTED_DOCUMENTS, answer_from_index, document_table, ingest_documents
 from gleanery.plans.medallion import MART, TELEMETRY, IngestSettings, rebuild_mart
 from gleanery.plans.question_answering import answer_requests
 from gleanery.plans.usage_log import REJECTED_TELEMETRY, log_answers
@@ -20,7 +20,7 @@ def store(spark, tmp_path):
 
 
 def held(store):
-    rows = store.read(DOCUMENT_VECTORS).select("doc_id", "payload.content", "payload.category").collect()
+    rows = document_table(store).read().select("doc_id", "payload.content", "payload.category").collect()
     return {r["doc_id"]: (r["content"], r["category"]) for r in rows}
 
 
@@ -40,10 +40,25 @@ def test_upsert_by_id(spark, store, policies):
     assert store.read(REJECTED_DOCUMENTS).first()["id"] == "lost"
 
 
+def test_a_small_hand_over_rewrites_its_own_folders(spark, store):
+    def files():
+        return {r[0] for r in document_table(store).read().select(F.input_file_name()).distinct().collect()}
+
+    many = spark.range(300).select(F.concat(F.lit("d"), "id").alias("id"), F.lit("c").alias("category"), F.concat(F.lit("text "), "id").alias("content"))
+    ingest_documents(store, many, run_ts=DAYS[0])
+    before = files()
+    more = spark.createDataFrame([("d7", "c", "another text"), ("lost", "c", None)], "id string, category string, content string")
+    for _ in range(2):
+        ingest_documents(store, more, run_ts=DAYS[1], version="night-2")
+    assert len(before - files()) == len(files() - before) == 1
+    assert held(store)["d7"] == ("another text", "c") and len(held(store)) == 300
+    assert store.read(REJECTED_DOCUMENTS).count() == 1
+
+
 def test_index_refuses_vectors_of_another_length(store, policies):
     with pytest.raises(QualityError, match="dimension"):
         ingest_documents(store, policies, IngestSettings(dim=10))
-    assert store.read(DOCUMENT_VECTORS) is None
+    assert not document_table(store).exists()
 
 
 def test_stored_vectors_give_the_same_answers(spark, store, policies):
