@@ -1,17 +1,18 @@
 """Table checks as aggregates.
 
-A suite is a list of row rules plus the columns that must be unique. All row rules of a suite are counted
-in one pass; each unique column adds one aggregation by that column, combined before its shuffle.
+A suite is a list of row rules plus the columns that must be unique. All checks of a suite are counted in one pass over its input:
+rows are grouped by their unique value, combined before the shuffle, and the row rules are counted within these groups. A table's
+write can count the row rules itself (``failures``, ``require``), which leaves the unique columns to be read.
 A report has one row per check: suite, check, column, failed, total, passed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,28 +100,45 @@ def response_suite() -> Suite:
     )
 
 
-def _row_checks(df: DataFrame, suite: Suite) -> DataFrame:
-    counts = [F.count_if(rule.broken).alias(f"failed_{i}") for i, rule in enumerate(suite.rules)]
-    rows = [
-        F.struct(
-            F.lit(rule.check).alias("check"),
-            F.lit(rule.column).alias("column"),
-            F.col(f"failed_{i}").alias("failed"),
-            F.col("total"),
-        )
-        for i, rule in enumerate(suite.rules)
-    ]
-    return df.agg(F.count("*").alias("total"), *counts).select(F.inline(F.array(*rows)))
+def failures(suite: Suite) -> list[Column]:
+    """Aggregates ``failed_0``, ``failed_1``, ... that count the rows which break each row rule."""
+    return [F.count_if(rule.broken).alias(f"failed_{n}") for n, rule in enumerate(suite.rules)]
 
 
-def unique_check(df: DataFrame, column: str) -> DataFrame:
-    """Every row of a value that occurs twice or more fails; nulls are left out.
-
-    Strings are counted by their SHA-256, so that long texts are not shuffled.
-    """
+def _value_key(df: DataFrame, column: str) -> Column:
+    """Strings are counted by their SHA-256, so that long texts are not shuffled."""
     value = F.col(column)
-    key = F.unhex(F.sha2(value, 256)) if isinstance(df.schema[column].dataType, T.StringType) else value
-    copies = df.where(value.isNotNull()).groupBy(key.alias("value")).agg(F.count("*").alias("n"))
+    return F.unhex(F.sha2(value, 256)) if isinstance(df.schema[column].dataType, T.StringType) else value
+
+
+def _counted(df: DataFrame, suite: Suite) -> DataFrame:
+    """One row: ``total``, the failures of each rule, and for unique column n ``copies_n`` and ``values_n``."""
+    if not suite.unique:
+        return df.agg(F.count("*").alias("total"), *failures(suite))
+    keys = [_value_key(df, c).cast("binary" if isinstance(df.schema[c].dataType, T.StringType) else "string") for c in suite.unique]
+    broken = [F.coalesce(rule.broken, F.lit(False)).cast("int").alias(f"failed_{n}") for n, rule in enumerate(suite.rules)]
+    # Several unique columns give one row each; the rules are counted with the first.
+    rows = df.select(*broken, F.posexplode(F.array(*[k.cast("binary") for k in keys])).alias("which", "value"))
+    first = F.col("which") == 0
+    groups = rows.groupBy("which", "value").agg(F.count("*").alias("n"), *[F.sum(F.when(first, F.col(b))).alias(b) for b in _names(suite)])
+
+    def total(n: Column, alias: str) -> Column:
+        return F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(alias)
+
+    out = [total(F.when(first, F.col("n")), "total"), *[total(F.col(b), b) for b in _names(suite)]]
+    for place in range(len(keys)):
+        own = (F.col("which") == place) & F.col("value").isNotNull()
+        out += [total(F.when(own & (F.col("n") > 1), F.col("n")), f"copies_{place}"), total(F.when(own, F.col("n")), f"values_{place}")]
+    return groups.agg(*out)
+
+
+def _names(suite: Suite) -> list[str]:
+    return [f"failed_{n}" for n in range(len(suite.rules))]
+
+
+def unique_check(df: DataFrame, column: str) -> DataFrame:
+    """Every row of a value that occurs twice or more fails; nulls are left out."""
+    copies = df.where(F.col(column).isNotNull()).groupBy(_value_key(df, column).alias("value")).agg(F.count("*").alias("n"))
     return copies.agg(
         F.lit("unique").alias("check"),
         F.lit(column).alias("column"),
@@ -142,16 +160,29 @@ def _schema_check(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def audit(df: DataFrame, suite: Suite) -> DataFrame:
-    parts = [_row_checks(df, suite)] if suite.rules else []
-    parts += [unique_check(df, column) for column in suite.unique]
+    """The report of a suite; its input is read once."""
+
+    def line(check: str, column: str, failed: str, total: str) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(failed).alias("failed"), F.col(total).alias("total"))
+
+    lines = [line(rule.check, rule.column, f"failed_{n}", "total") for n, rule in enumerate(suite.rules)]
+    lines += [line("unique", column, f"copies_{n}", f"values_{n}") for n, column in enumerate(suite.unique)]
+    parts = [_counted(df, suite).select(F.inline(F.array(*lines)))] if lines else []
     parts += [_schema_check(df, suite.schema)] if suite.schema else []
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumns({"suite": F.lit(suite.name), "passed": F.col("failed") == 0}).select(*REPORT_COLUMNS)
 
 
-def require(df: DataFrame, suite: Suite) -> list:
-    """Run the suite and raise if any check fails. Returns the report rows, one per check."""
-    report = audit(df, suite).collect()
+def require(df: DataFrame, suite: Suite, counted: Mapping[str, int] | None = None) -> list:
+    """Run the suite and raise if any check fails. Returns the report rows, one per check.
+
+    ``counted`` holds ``row_count`` and the ``failures`` that the write of ``df`` counted; row rules are then not run again.
+    """
+    rest = suite if counted is None else replace(suite, rules=())
+    report = audit(df, rest).collect() if rest.rules or rest.unique or rest.schema else []
+    if counted is not None:
+        rows = [(suite.name, r.check, r.column, counted[n], counted["row_count"], counted[n] == 0) for r, n in zip(suite.rules, _names(suite), strict=True)]
+        report = [*(Row(*REPORT_COLUMNS)(*row) for row in rows), *report]
     broken = [f"{r['check']}({r['column']}): {r['failed']} of {r['total']}" for r in report if not r["passed"]]
     if broken:
         raise QualityError(f"{suite.name}: " + "; ".join(broken))

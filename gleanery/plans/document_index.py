@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.operators.embedding import EmbedderFactory, embed
+from gleanery.operators.embedding import EmbedderFactory, embed_or_fault
 from gleanery.operators.quality import index_suite
 from gleanery.operators.search import DEFAULT_LIMITS, Searcher, SearchLimits, knn
 from gleanery.plans.medallion import IngestSettings, RunReport
 from gleanery.plans.question_answering import DOCS_PER_QUERY, answer_requests
-from gleanery.session import spread_small
+from gleanery.session import materialize, spread_small
 from gleanery.sinks.buckets import BUCKETS, UPSERT, BucketedTable
 from gleanery.sinks.tables import TableStore, latest_per_key
 from gleanery.sources.documents import accept_documents, reject_documents
@@ -24,7 +24,8 @@ POINTS = "doc_id string, payload struct<content:string,category:string>, embeddi
 
 
 def document_points(documents: DataFrame, run_ts: datetime, factory: EmbedderFactory | None = None) -> DataFrame:
-    """doc_id, payload, content_hash, written_at, embedding_vector of documents(id, content, category).
+    """doc_id, payload, content_hash, written_at, embedding_vector, refused of documents(id, content, category); ``refused`` is why the
+    embedder gave no vector.
 
     Copies of an id are reduced to one row before any of them is embedded.
     """
@@ -35,7 +36,7 @@ def document_points(documents: DataFrame, run_ts: datetime, factory: EmbedderFac
         F.lit(run_ts).cast("timestamp").alias("written_at"),
     )
     single = spread_small(latest_per_key(accepted, "doc_id", "written_at"), "doc_id")
-    return embed(single, "payload.content", "embedding_vector", factory)
+    return embed_or_fault(single, "payload.content", "embedding_vector", "refused", factory)
 
 
 def document_table(store: TableStore, buckets: int = BUCKETS) -> BucketedTable:
@@ -52,15 +53,18 @@ def ingest_documents(
     version: str | None = None,
     buckets: int = BUCKETS,
 ) -> RunReport:
-    """Embed documents and upsert them by id; rows without content are set aside.
+    """Embed documents and upsert them by id; rows without content, and those that the embedder refuses, are set aside with the reason.
 
     Only the folders that the ids fall into are rewritten. A call that is repeated under the same ``version`` name ends in the same
     points and sets nothing aside twice.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
-    points = document_points(documents, run_ts, settings.embedder).withColumn("change", F.lit(UPSERT))
-    written = document_table(store, buckets).apply(points, index_suite(settings.dim, "doc_id"), ["written_at"])
-    rejected = store.append(reject_documents(documents), REJECTED_DOCUMENTS, version)
+    points = materialize(document_points(documents, run_ts, settings.embedder), "points")
+    sound = points.where("refused IS NULL").drop("refused").withColumn("change", F.lit(UPSERT))
+    written = document_table(store, buckets).apply(sound, index_suite(settings.dim, "doc_id"), ["written_at"])
+    refused = points.where("refused IS NOT NULL").select(F.col("doc_id").alias("id"), "payload.content", "payload.category", F.col("refused").alias("reason"))
+    rejects = reject_documents(documents.select("id", "content", "category")).unionByName(refused)
+    rejected = store.append(rejects, REJECTED_DOCUMENTS, version)
     return RunReport(rows={DOCUMENT_VECTORS: written[UPSERT], REJECTED_DOCUMENTS: rejected})
 
 

@@ -1,9 +1,10 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.operators.quality import QualityError, Suite, audit, gold_suite, mart_suite, not_null, require, silver_suite, unique_check
+from gleanery.operators.quality import QualityError, Rule, Suite, audit, gold_suite, mart_suite, not_null, require, silver_suite, unique_check
 
 SILVER = "chunk_id string, file_path string, chunk_text string"
 GOLD = "chunk_id string, embedding_vector array<float>"
@@ -74,3 +75,33 @@ def test_verdict(spark):
 def test_row_checks_share_one_pass(spark):
     plan = audit(spark.createDataFrame(GOOD_GOLD, GOLD), gold_suite(2))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ") == 1
+
+
+def test_a_suite_reads_its_input_once(spark, tmp_path):
+    """Row rules, two unique columns of different types, nulls and copies; one scan in the plan."""
+    from conftest import plan_of
+
+    path = str(tmp_path / "rows")
+    rows = [(1, "a", 1.0), (1, "b", None), (2, "b", 2.0), (None, None, 3.0), (None, "c", None)]
+    spark.createDataFrame(rows, "k int, v string, x double").write.parquet(path)
+    df = spark.read.parquet(path)
+    suite = Suite("s", [not_null("x"), Rule("small", "x", F.col("x") > 2)], unique=["k", "v"])
+    report = audit(df, suite)
+    got = {(r["check"], r["column"]): (r["failed"], r["total"], r["passed"]) for r in report.collect()}
+    assert got == {("not_null", "x"): (2, 5, False), ("small", "x"): (1, 5, False), ("unique", "k"): (2, 3, False), ("unique", "v"): (2, 4, False)}
+    assert plan_of(audit(df, suite)).count("Scan parquet") == plan_of(audit(df, Suite("s", [not_null("x")]))).count("Scan parquet")
+    empty = audit(df.limit(0), Suite("s", [not_null("x")], unique=["k"])).collect()
+    assert all(r["passed"] and (r["failed"], r["total"]) == (0, 0) for r in empty)
+
+
+def test_the_write_counts_the_row_rules(spark, tmp_path, monkeypatch):
+    """Rows that break a rule are refused without being read again."""
+    from gleanery.operators import quality
+    from gleanery.sinks.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    monkeypatch.setattr(quality, "audit", lambda df, suite: pytest.fail("read again") if suite.rules else audit(df, suite))
+    suite = Suite("s", [not_null("x"), Rule("small", "x", F.col("x") > 2)], unique=["k"])
+    assert store.append(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, x double"), "t", suite=suite) == 2
+    with pytest.raises(QualityError, match=r"not_null\(x\): 1 of 3; small\(x\): 1 of 3; unique\(k\): 2 of 3"):
+        store.append(spark.createDataFrame([(1, None), (1, 2.0), (2, 3.0)], "k int, x double"), "t", suite=suite)
