@@ -14,7 +14,7 @@ from gleanery.operators.answers import DOCS_TYPE, analysis_text, retrieved_docs,
 from gleanery.operators.chunking import explode_chunks, silver_chunks
 from gleanery.operators.embedding import embed, gold_vectors
 from gleanery.operators.ivf import IvfIndex
-from gleanery.operators.mart import daily_mart, latest_first
+from gleanery.operators.mart import daily_mart, latest_first, mart_of_states
 from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, response_suite, silver_suite, unique_check
 from gleanery.operators.requests import accept_requests, reject_requests
 from gleanery.operators.search import SearchLimits, knn, knn_lsh
@@ -37,12 +37,13 @@ from gleanery.plans.medallion import (
 from gleanery.plans.question_answering import answer_from_chunks, answer_requests, chunk_hits
 from gleanery.plans.usage_log import log_answers, timed
 from gleanery.session import spread_small, work_dir
+from gleanery.sinks.buckets import BucketedTable
 from gleanery.sinks.tables import TableStore, changed_rows, upsert
 from gleanery.sources.documents import accept_documents, reject_documents
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
-from gleanery.streaming.mart import append_closed_days, publish_mart
-from gleanery.streaming.telemetry import accepted_telemetry, log_responses, rejected_responses, write_files
+from gleanery.streaming.mart import append_closed_days, mart_table
+from gleanery.streaming.telemetry import log_responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -460,47 +461,44 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _stream_telemetry(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    responses = i.event_responses(_event_stream(spark, sf_dir))
-    accepted = accepted_telemetry(responses)
-    write_files(accepted, f"{base}/telemetry", f"{base}/telemetry-checkpoint", "execution_timestamp").awaitTermination()
-    write_files(rejected_responses(responses), f"{base}/rejects", f"{base}/rejects-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/telemetry")
-
-
 @query
 def stream_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that arrive newest first, in three files and one micro-batch for each; nothing is too late."""
-    base = work_dir(spark, "stream")
-    events = i.table(spark, sf_dir, "events")
-    low, high = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    third = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(low)) * 3 / F.lit(high - low + 1))
-    for number in (2, 1, 0):
-        part = events.where(F.coalesce(third, F.lit(0)) == number)
-        part.coalesce(1).write.mode("append").parquet(f"{base}/events")
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
-    store = TableStore(spark, f"{base}/tables")
-    log_responses(i.event_responses(arriving), store, f"{base}/checkpoint").awaitTermination()
+    """Events that arrive newest first, a third of the time after the other, one micro-batch for each; nothing is too late."""
+    store = _logged_in_thirds(spark, sf_dir, work_dir(spark, "stream"))
     records = store.read(TELEMETRY)
     return as_doubles(records.drop("run_date")).withColumn("execution_timestamp", F.unix_micros("execution_timestamp"))
 
 
+def _logged_in_thirds(spark: SparkSession, sf_dir: str, base: str, mart: BucketedTable | None = None) -> TableStore:
+    events = i.table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.coalesce(F.min(micros), F.lit(0)), F.coalesce(F.max(micros), F.lit(0))).first()
+    third = F.floor((micros - F.lit(low)) * 3 / F.lit(high - low + 1))
+    store = TableStore(spark, f"{base}/tables")
+    for number in (2, 1, 0):
+        events.where(F.coalesce(third, F.lit(0)) == number).write.mode("append").parquet(f"{base}/events")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{base}/events")
+        log_responses(i.event_responses(arriving), store, f"{base}/checkpoint", mart=mart).awaitTermination()
+    return store
+
+
 @query
 def stream_daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart kept up with each micro-batch by merging the states of its records into their days."""
     base = work_dir(spark, "stream")
-    schema = _stream_telemetry(spark, sf_dir, base).schema
-    store = TableStore(spark, f"{base}/tables")
-    records = spark.readStream.schema(schema).parquet(f"{base}/telemetry")
-    publish_mart(records, store, MART, f"{base}/mart-checkpoint").awaitTermination()
-    return as_doubles(store.read(MART))
+    mart = mart_table(TableStore(spark, f"{base}/tables"))
+    _logged_in_thirds(spark, sf_dir, base, mart)
+    return as_doubles(mart_of_states(mart.read()))
 
 
 @query
 def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append mode: a day comes out when the watermark, one day behind the newest record, has passed its end."""
+    """Append mode over the logged records: a day comes out when the watermark, one day behind the newest record, has passed its end."""
     base = work_dir(spark, "stream")
-    schema = _stream_telemetry(spark, sf_dir, base).schema
-    records = spark.readStream.schema(schema).parquet(f"{base}/telemetry")
+    store = TableStore(spark, f"{base}/tables")
+    log_responses(i.event_responses(_event_stream(spark, sf_dir)), store, f"{base}/checkpoint").awaitTermination()
+    schema = store.read(TELEMETRY).schema
+    records = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{store.root}/{TELEMETRY}")
     append_closed_days(records, f"{base}/closed", f"{base}/closed-checkpoint").awaitTermination()
     return as_doubles(spark.read.parquet(f"{base}/closed"))
 

@@ -10,8 +10,10 @@ from gleanery.operators.telemetry import derive_telemetry
 from gleanery.plans.medallion import TELEMETRY
 from gleanery.plans.usage_log import log_records
 from gleanery.session import materialize
+from gleanery.sinks.buckets import BucketedTable
 from gleanery.sinks.tables import TableStore
 from gleanery.streaming.batches import batch_version, paced, publish_batches
+from gleanery.streaming.mart import merge_batch
 
 
 def accepted_telemetry(responses: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -26,16 +28,23 @@ def rejected_responses(responses: DataFrame) -> DataFrame:
     return responses.where(F.col("executed_at").isNull()).withColumn("reason", F.lit("executed_at is missing"))
 
 
-def log_responses(responses: DataFrame, store: TableStore, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def log_responses(
+    responses: DataFrame, store: TableStore, checkpoint: str, every: str | None = None, mart: BucketedTable | None = None
+) -> StreamingQuery:
     """Log each micro-batch, however late its rows are: accepted records, rejects and replays add up to the input.
 
     A replay has the id and the day of a record that is stored or came earlier on that day, so a day's records are only compared
-    with each other. Rows without a time are set aside.
+    with each other. Rows without a time are set aside. ``mart`` (see ``mart_table``) is kept up with every batch by merging the states of its
+    new records into their days.
     """
 
     def log(batch: DataFrame, number: int) -> None:
-        records = materialize(derive_telemetry(batch), "telemetry")
-        log_records(store, unlogged(records, store.read(TELEMETRY)), batch_version(store.spark, number))
+        version = batch_version(store.spark, number)
+        if not store.is_published(TELEMETRY, version):
+            records = materialize(derive_telemetry(batch), "telemetry")
+            log_records(store, unlogged(records, store.read(TELEMETRY)), version)
+        if mart is not None and store.is_published(TELEMETRY, version):
+            merge_batch(mart, store.read(TELEMETRY, [version]), version)
 
     return paced(responses.writeStream.foreachBatch(log), checkpoint, every).start()
 

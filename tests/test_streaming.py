@@ -2,13 +2,14 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from gleanery.operators.mart import daily_mart
+from gleanery.operators.mart import daily_mart, mart_of_states
 from gleanery.plans.medallion import BRONZE, GOLD, SILVER, TELEMETRY, IngestSettings, ingest_bronze
 from gleanery.plans.usage_log import REJECTED_TELEMETRY
 from gleanery.sinks.tables import TableStore
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
-from gleanery.streaming.mart import append_closed_days, publish_mart
+from gleanery.streaming import telemetry
+from gleanery.streaming.mart import append_closed_days, mart_table, publish_mart
 from gleanery.streaming.telemetry import accepted_telemetry, log_responses, publish_stream, rejected_responses, write_files
 
 RESPONSE = (
@@ -80,6 +81,27 @@ def test_log_keeps_late_rows(drops, spark, tmp_path):
     assert ids(store.read(REJECTED_TELEMETRY)) == ["r12"]
 
 
+def test_mart_is_merged_batch_by_batch(drops, spark, tmp_path, monkeypatch):
+    """Late days, a replayed batch and a second stream: the states equal the mart of all records, and only new records are read."""
+    store = TableStore(spark, str(tmp_path / "tables"))
+    mart, checkpoint, read = mart_table(store, 4), tmp_path / "cp-log", []
+    merge = telemetry.merge_batch
+    monkeypatch.setattr(telemetry, "merge_batch", lambda table, records, version: read.append(records.count()) or merge(table, records, version))
+
+    def run(path=checkpoint):
+        log_responses(drops.responses(), store, str(path), mart=mart).awaitTermination()
+        assert sorted(mart_of_states(mart.read()).collect()) == sorted(daily_mart(store.read(TELEMETRY)).collect())
+
+    drops.drop([response(n, START + timedelta(days=3, hours=5 * n)) for n in range(9)] + [response(40, None)])
+    run()
+    drops.drop([response(n, START + timedelta(hours=5 * n)) for n in range(20, 30)] + [response(0, START + timedelta(days=3))])
+    run()
+    replay_last_batch(checkpoint)
+    run()
+    run(tmp_path / "another-checkpoint")
+    assert read[:3] == [9, 10, 10] and store.read(TELEMETRY).count() == 19
+
+
 def replay_last_batch(checkpoint):
     """As if the job had died after publishing but before the batch was committed."""
     last = max((checkpoint / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
