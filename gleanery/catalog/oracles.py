@@ -218,6 +218,9 @@ ORACLES["dq_responses"] = _union(
     _unique("response", "request_id", _ANSWERED),
 )
 ORACLES["dq_unique"] = f"""SELECT "check", "column", failed, total FROM ({_unique("-", "text", "FROM documents")})"""
+ORACLES["dq_unique_new"] = """WITH new AS (SELECT doc_id + 1 AS doc_id FROM documents WHERE lang = 'es')
+SELECT doc_id, count(*) AS new_rows, any_value(held) AS published_rows FROM new JOIN
+    (SELECT doc_id, count(*) AS held FROM documents WHERE lang IS DISTINCT FROM 'es' GROUP BY doc_id) USING (doc_id) GROUP BY doc_id"""
 ORACLES["dq_report"] = _union(
     _check("bronze", "not_null", "file_path", "file_path IS NULL", _BRONZE),
     _check("bronze", "not_null", "raw_text", "raw_text IS NULL", _BRONZE),

@@ -15,10 +15,11 @@ from gleanery.operators.chunking import explode_chunks, silver_chunks
 from gleanery.operators.embedding import embed, gold_vectors
 from gleanery.operators.ivf import IvfIndex
 from gleanery.operators.mart import daily_mart, latest_first, mart_of_states
+from gleanery.operators.known_ids import clashes
 from gleanery.operators.quality import Suite, audit, gold_suite, mart_suite, response_suite, silver_suite, unique_check
 from gleanery.operators.requests import accept_requests, reject_requests
 from gleanery.operators.search import SearchLimits, knn, knn_lsh
-from gleanery.operators.telemetry import completion_tokens, cost_usd, derive_telemetry, latency_ms, prompt_tokens
+from gleanery.operators.telemetry import completion_tokens, cost_usd, latency_ms, prompt_tokens
 from gleanery.plans.document_index import document_table, ingest_documents
 from gleanery.plans.file_changes import CHUNKS, FileTables, carry_changes
 from gleanery.plans.medallion import (
@@ -35,7 +36,7 @@ from gleanery.plans.medallion import (
     rebuild_mart,
 )
 from gleanery.plans.question_answering import answer_from_chunks, answer_requests, chunk_hits
-from gleanery.plans.usage_log import log_answers, timed
+from gleanery.plans.usage_log import log_answers, timed, timed_records
 from gleanery.session import spread_small, work_dir
 from gleanery.sinks.buckets import BucketedTable
 from gleanery.sinks.tables import TableStore, changed_rows, upsert
@@ -277,7 +278,7 @@ def latency_from_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _answer_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = answer_requests(i.requests(spark, sf_dir), i.documents(spark, sf_dir))
-    return derive_telemetry(timed(responses, i.timings(spark, sf_dir)))
+    return timed_records(responses, i.timings(spark, sf_dir))
 
 
 @query
@@ -345,6 +346,15 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_check(i.table(spark, sf_dir, "documents"), "text")
 
 
+@query
+def dq_unique_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that clash with published ones: Spanish documents come in under the number after their own, which may be taken."""
+    rows = i.table(spark, sf_dir, "documents")
+    published = rows.where("NOT lang <=> 'es'").select("doc_id")
+    new = rows.where("lang <=> 'es'").select((F.col("doc_id") + 1).alias("doc_id"))
+    return clashes(new, published, "doc_id")
+
+
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks that fail: copies of a text, and chunks longer than a bound below their size."""
