@@ -141,11 +141,11 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def _suffixes(shared):
+def _suffixes(partition: Partition):
     """part, lang, suffix, whole, n: the truncated suffixes of two words or more. ``whole`` tells that all suffixes with this prefix are in this group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, held, rows = shared.value, [], 0
+        held, rows = [], 0
         for batch in batches:
             for part in slices(batch, "text", TEXT_BYTES):
                 found = _of_slice(Words(part), partition)
@@ -232,8 +232,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text: str = "text", lang:
     totals = words.groupBy("lang").agg(F.sum("n").alias("words"))
     pairs = rows.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     partition = Partition.of(materialize(pairs, "phrase-prefixes"), budget)
-    shared = docs.sparkSession.sparkContext.broadcast(partition)
-    suffixes = rows.mapInArrow(_suffixes(shared), "part int, lang string, suffix string, whole boolean, n long")
+    suffixes = rows.mapInArrow(_suffixes(partition), "part int, lang string, suffix string, whole boolean, n long")
     nodes = suffixes.groupBy("part").applyInArrow(_subtree(least), "lang string, phrase string, size int, n long")
     nodes = nodes.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     single = words.where(F.col("n") >= least).select("lang", "phrase", F.lit(1).alias("size"), "n")
