@@ -143,7 +143,8 @@ _ANSWER_TELEMETRY = f"""{_RESPONSES}, telemetry AS (SELECT *, prompt_tokens + co
 _MART = """, flagged AS (SELECT CAST(execution_timestamp AS DATE) AS run_date, status_code IS DISTINCT FROM 200 AND status_code IS NOT NULL AS failed, * FROM telemetry)
 SELECT run_date, count(request_id) AS total_agent_queries, count(*) FILTER (failed) AS error_count,
     round(100.0 * count(*) FILTER (failed) / nullif(count(request_id), 0), 2)::DOUBLE AS error_rate_percentage,
-    round(max(execution_time_ms), 2) AS max_latency_ms, round(mean(execution_time_ms), 2) AS avg_latency_ms,
+    round(max(execution_time_ms), 2) AS max_latency_ms, ((2 * sum(round(execution_time_ms * 10000)::BIGINT) + 100 * count(execution_time_ms)) // nullif(200 * count(execution_time_ms), 0))::DOUBLE
+        / 100 AS avg_latency_ms,
     CAST(floor((2 * sum(round(vector_similarity_score * 10000)::BIGINT) + count(vector_similarity_score))::DOUBLE
         / nullif(2 * count(vector_similarity_score), 0)) AS DOUBLE) / 10000 AS avg_cosine_similarity, round(sum(total_cost_usd), 4)::DOUBLE AS total_spend_usd,
     sum(completion_tokens)::BIGINT AS total_completion_tokens, sum(prompt_tokens)::BIGINT AS total_prompt_tokens,
