@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators.embedding import EmbedderFactory, embed_or_fault
-from gleanery.operators.quality import index_suite
+from gleanery.operators.quality import index_suite, response_suite
+from gleanery.operators.requests import reject_requests
 from gleanery.operators.search import DEFAULT_LIMITS, Searcher, SearchLimits, knn
 from gleanery.plans.medallion import IngestSettings, RunReport
 from gleanery.plans.question_answering import DOCS_PER_QUERY, answer_requests
@@ -20,6 +21,8 @@ from gleanery.sources.documents import accept_documents, reject_documents
 
 DOCUMENT_VECTORS = "document_vectors"
 REJECTED_DOCUMENTS = "rejected_documents"
+RESPONSES = "responses"
+REJECTED_REQUESTS = "rejected_requests"
 POINTS = "doc_id string, payload struct<content:string,category:string>, embedding_vector array<float>"
 
 
@@ -90,3 +93,13 @@ def answer_from_index(
     documents = points.select(F.col("doc_id").alias("id"), "payload.content", "payload.category")
     vectors = points.select(F.col("doc_id").alias("id"), F.col("embedding_vector").alias("vector"))
     return answer_requests(requests, documents, vectors, settings.embedder, k, settings.dim, limits, fault, search)
+
+
+def publish_answers(store: TableStore, requests: DataFrame, settings: IngestSettings = IngestSettings(), version: str | None = None, search: Searcher = knn) -> RunReport:
+    """Answer requests(request_id, query) from the index and publish the responses, if all of them keep the response contract; requests without
+    a character are set aside with the reason. A call that is repeated under the same ``version`` name adds nothing."""
+    answers = answer_from_index(store, requests, settings, search=search)
+    report = RunReport()
+    report.rows[RESPONSES] = store.append(answers, RESPONSES, version, response_suite())
+    report.rows[REJECTED_REQUESTS] = store.append(reject_requests(requests), REJECTED_REQUESTS, version)
+    return report
