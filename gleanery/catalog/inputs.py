@@ -83,8 +83,8 @@ def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.join(events, "event_id").drop("event_id")
 
 
-def event_responses(events: DataFrame) -> DataFrame:
-    """Events as responses (batch or stream): the type is the question, the properties are the answer."""
+def event_responses(events: DataFrame, *carry: str) -> DataFrame:
+    """Events as responses (batch or stream): the type is the question, the properties are the answer. Columns to ``carry`` stay."""
     failed = F.col("event_type") == "error"
     return events.select(
         F.col("event_id").cast("string").alias("request_id"),
@@ -94,6 +94,7 @@ def event_responses(events: DataFrame) -> DataFrame:
         F.lit(None).cast("array<struct<id:string,content:string,category:string,score:double>>").alias("retrieved_docs"),
         F.when(~failed, F.col("props")).alias("analysis_output"),
         F.when(failed, F.lit("event reported an error")).alias("error"),
+        *carry,
     )
 
 

@@ -282,4 +282,11 @@ ORACLES["stream_telemetry"] = f"""SELECT * REPLACE (epoch_us(execution_timestamp
 ORACLES["stream_daily_mart"] = f"WITH telemetry AS ({_STREAMED}) {_MART}"
 ORACLES["stream_closed_days"] = f"""SELECT * FROM (WITH telemetry AS ({_STREAMED}) {_MART})
     WHERE run_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+_ARRIVING = f"""SELECT t.*, copy, t.request_id::BIGINT % 7 * 15 + copy AS minutes FROM ({_STREAMED}) t, (VALUES (0), (1)) copies(copy)
+    WHERE copy = 0 OR t.request_id::BIGINT % 10 = 0"""
+ORACLES["stream_outcomes"] = f"""SELECT request_id, CASE WHEN execution_timestamp IS NULL THEN 'rejected' WHEN minutes > 60 THEN 'late'
+    WHEN copy = 1 THEN 'replay' ELSE 'accepted' END AS outcome, epoch_us(execution_timestamp) AS execution_timestamp, completion_tokens FROM ({_ARRIVING})"""
+ORACLES["stream_joined_times"] = f"""SELECT * EXCLUDE (matched) REPLACE (CASE WHEN matched THEN epoch_us(execution_timestamp) - 30000000 END AS execution_timestamp,
+    CASE WHEN matched THEN execution_time_ms END AS execution_time_ms, total_cost_usd::DOUBLE AS total_cost_usd)
+    FROM (SELECT *, request_id::BIGINT % 5 <> 0 AS matched FROM ({_STREAMED}) WHERE execution_timestamp IS NOT NULL)"""
 ORACLES["stream_ingest"] = f"SELECT chunk_pos::INT AS chunk_pos, chunk_text FROM ({_chunks(_FILES)})"

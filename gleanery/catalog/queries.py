@@ -36,7 +36,7 @@ from gleanery.plans.medallion import (
     rebuild_mart,
 )
 from gleanery.plans.question_answering import answer_from_chunks, answer_requests, chunk_hits
-from gleanery.plans.usage_log import log_answers, timed, timed_records
+from gleanery.plans.usage_log import REJECTED_TELEMETRY, log_answers, timed, timed_records
 from gleanery.session import spread_small, work_dir
 from gleanery.sinks.buckets import BucketedTable
 from gleanery.sinks.tables import TableStore, changed_rows, upsert
@@ -44,7 +44,8 @@ from gleanery.sources.documents import accept_documents, reject_documents
 from gleanery.sources.text_files import bronze_rows, scan_text_files
 from gleanery.streaming.ingest import ingest_new_files
 from gleanery.streaming.mart import append_closed_days, mart_table
-from gleanery.streaming.telemetry import log_responses
+from gleanery.streaming.outcomes import LATE_TELEMETRY, REPLAYED_TELEMETRY, joined_with_times, route_responses
+from gleanery.streaming.telemetry import log_responses, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -513,6 +514,50 @@ def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(spark.read.parquet(f"{base}/closed"))
 
 
+@query
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive up to 90 minutes after their time, every tenth twice: what was accepted, came late, came again or has no time."""
+    base = work_dir(spark, "stream")
+    store = TableStore(spark, f"{base}/tables")
+    number = F.col("event_id")
+    copies = F.explode(F.sequence(F.lit(0), F.when(number % 10 == 0, 1).otherwise(0)))
+    events = _event_stream(spark, sf_dir).withColumn("copy", copies)
+    minutes = (number % 7 * 15 + F.col("copy")).cast("int")
+    delays = events.select("event_id", "ts", "value", "event_type", "props", minutes.alias("minutes"))
+    responses = i.event_responses(delays, "minutes")
+    arrived = F.coalesce("executed_at", F.lit(i.RUN_TS)) + F.make_dt_interval(mins=F.col("minutes"))
+    route_responses(responses, store, f"{base}/checkpoint", arrived=arrived).awaitTermination()
+    tables = {TELEMETRY: "accepted", LATE_TELEMETRY: "late", REPLAYED_TELEMETRY: "replay", REJECTED_TELEMETRY: "rejected"}
+    shape = "request_id string, outcome string, execution_timestamp bigint, completion_tokens bigint"
+    found = spark.createDataFrame([], shape)
+    for name, outcome in tables.items():
+        if (rows := store.read(name)) is not None:
+            found = found.unionByName(rows.select("request_id", F.lit(outcome).alias("outcome"), F.unix_micros("execution_timestamp").alias("execution_timestamp"), "completion_tokens"))
+    return found
+
+
+@query
+def stream_joined_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as responses and, for all but every fifth, their times, both as streams; a closing pair behind the newest lets the watermarks pass."""
+    base = work_dir(spark, "stream")
+    events = i.table(spark, sf_dir, "events").where("ts IS NOT NULL")
+    responses = i.event_responses(events).withColumnRenamed("executed_at", "answered_at").drop("execution_time_ms")
+    times = events.where("event_id % 5 <> 0").select(
+        F.col("event_id").cast("string").alias("request_id"),
+        (F.col("ts").cast("timestamp") - F.expr("INTERVAL '30' SECOND")).alias("executed_at"),
+        F.col("value").alias("execution_time_ms"),
+    )
+    newest = events.agg(F.coalesce(F.max("ts"), F.lit(i.RUN_TS)).cast("timestamp").alias("newest"))
+    for extra in (False, True):
+        for side, rows, time in (("responses", responses, "answered_at"), ("times", times, "executed_at")):
+            closing = newest.select(F.lit("closing").alias("request_id"), (F.col("newest") + F.expr(f"INTERVAL '{2 if side == 'times' else 1}' DAY")).alias(time))
+            (rows.limit(0).unionByName(closing, allowMissingColumns=True) if extra else rows).write.mode("append").parquet(f"{base}/{side}")
+        sides = [spark.readStream.schema(rows.schema).parquet(f"{base}/{side}") for side, rows in (("responses", responses), ("times", times))]
+        write_files(joined_with_times(*sides), f"{base}/joined", f"{base}/checkpoint").awaitTermination()
+    joined = spark.read.parquet(f"{base}/joined").where("request_id <> 'closing'")
+    return as_doubles(joined).withColumn("execution_timestamp", F.unix_micros("execution_timestamp"))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files ingested as a stream; a second run over the same folder adds nothing."""
