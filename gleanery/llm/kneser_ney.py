@@ -1,11 +1,12 @@
-"""Bigram model with interpolated modified Kneser-Ney smoothing, counted in Spark.
+"""N-gram model with interpolated modified Kneser-Ney smoothing, counted in Spark.
 
-Counts are gathered in tasks, dealt out by hash and summed shard by shard. Each shard is written to the shared folder as plain
-sorted arrays, which workers map into memory and search: word hashes give a word its number (shard and place), pairs of
-numbers find a bigram. Contexts that many tokens follow are spread over all shards by the word that follows.
+Counts are gathered in tasks, dealt out by hash and summed shard by shard, the longest n-grams first; each level hands the next what it needs of
+it. Each shard is written to the shared folder as plain sorted arrays, which workers map into memory and search: word hashes give a word
+its number (shard and place), pairs of numbers, and hashes of longer n-grams, find an n-gram. N-grams are dealt by all their words, so no context is a group.
 
-p(w | v) = (c(vw) - D(c(vw))) / c(v) + g(v) p(w), with three discounts from the counts of counts;
-p(w) is the same over the number of different words before w, its rest spread evenly over the vocabulary and one unknown word.
+p(w | u v) = (c(uvw) - D(c(uvw))) / c(uv.) + g(uv) p(w | v), with three discounts of the order from its counts of counts. In the
+lower orders the number of different words before an n-gram stands for its count; n-grams that begin a text keep their counts,
+as nothing stands before them. The rest of the words' order is spread evenly over the vocabulary and one unknown word.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ from gleanery.session import materialize, work_dir
 
 #: Tokens that a task counts before it hands its counts over.
 FLUSH_TOKENS = 4_000_000
-#: A context is spread over the shards from this share of all tokens in a shard of average size on.
-SPREAD = 0.25
+#: Words of the longest n-grams, unless a caller says otherwise.
+ORDER = 3
+#: Counts below this are kept in one byte, whose highest bit marks a context that was seen once.
+SMALL = 128
 U = np.uint64
-END, BEGIN = U(0xE5D), U(0xB61)
+END = U(0xE5D)
 BLOBS = "shard int, blob binary"
 
 
@@ -157,9 +160,7 @@ def _save_words(folder: str):
         words, counts = _summed(*_columns(table.column("blob"), "<u8", "<i8"))
         save_array(folder, f"words-{shard}", words)
         save_array(folder, f"counts-{shard}", counts)
-        top = np.argsort(-counts, kind="stable")[:64]
-        lists = [pa.array([x], pa.list_(pa.int64())) for x in (words[top].view(np.int64), counts[top])]
-        return pa.table([pa.array([shard], pa.int32()), pa.array([len(words)]), pa.array([int(counts.sum())]), *lists], names=["shard", "n", "total", "top", "top_n"])
+        return pa.table([pa.array([shard], pa.int32()), pa.array([len(words)]), pa.array([int(counts.sum())])], names=["shard", "n", "total"])
 
     return run
 
@@ -206,102 +207,118 @@ def array_of(folder: str, name: str, dtype: str) -> np.ndarray:
     return open_array(folder, name, dtype)
 
 
-def _bigram_shard(first: np.ndarray, second: np.ndarray, shards: int, spread: np.ndarray) -> np.ndarray:
-    """By the context; for the contexts in ``spread`` by the whole pair."""
-    key = mixed(first + U(1))
-    hot = np.isin(first, spread)
-    key[hot] = mixed(key[hot] ^ mixed(second[hot] + U(3)))
-    return _shard(key, shards)
+def _grams(numbers: np.ndarray, lengths: np.ndarray, begin: int, order: int) -> list[np.ndarray]:
+    """The columns of each token's n-gram. A text's first token follows ``begin``; what lies before that is ``begin + 1``, an unknown word ``begin + 2``."""
+    numbers = np.where(numbers < 0, begin + 2, numbers)
+    place = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    columns = [numbers]
+    for back in range(1, order):
+        before = np.full(len(numbers), begin + 1)
+        before[back:] = numbers[: len(numbers) - back] if back < len(numbers) else before[back:]
+        columns.insert(0, np.where(place >= back, before, np.where(place == back - 1, begin, begin + 1)))
+    return [c.astype(U) for c in columns]
 
 
-def _count_bigrams(words: Words, spread: np.ndarray):
+def _keys(grams: list[np.ndarray]) -> np.ndarray:
+    """A word's number, a pair of numbers, or the hash of a longer n-gram."""
+    if len(grams) == 1:
+        return grams[0]
+    key = grams[0] << U(32) | grams[1]
+    for word in grams[2:]:
+        key = mixed(key + mixed(word + U(1)))
+    return key
+
+
+def _merged(grams: list[np.ndarray], stats: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Distinct n-grams in the order of their keys, with summed columns."""
+    keys = _keys(grams)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, int)
+    sums = [np.add.reduceat(v[order].astype(np.int64), starts) if len(keys) else v.astype(np.int64) for v in stats]
+    return keys[starts], [g[order[starts]] for g in grams], sums
+
+
+def _dealt(shard: np.ndarray, shards: int, grams: list[np.ndarray], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(shard, kind="stable")
+    yield from _blobs(shard[order], shards, *[g[order].astype("<u4") for g in grams], *[c[order] for c in columns])
+
+
+def _count_grams(words: Words, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, codes, lengths = _tokens(part.column("text"))
-                pairs = _pairs(words.numbers(hashes)[codes], lengths, words.distinct)
-                held.append(pairs)
-                n += len(pairs)
+                held.append([g.astype("<u4") for g in _grams(words.numbers(hashes)[codes], lengths, words.distinct, order)])
+                n += len(codes)
                 if n > FLUSH_TOKENS:
-                    yield from flush(np.concatenate(held))
+                    yield from flush(held)
                     held, n = [], 0
         if held:
-            yield from flush(np.concatenate(held))
-
-    def flush(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
-        pairs, counts = np.unique(pairs, return_counts=True)
-        shard = _bigram_shard(pairs >> U(32), pairs & U(0xFFFFFFFF), words.shards, spread)
-        order = np.argsort(shard, kind="stable")
-        pairs, shard = pairs[order], shard[order]
-        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
-        first = (pairs >> U(32)).astype(np.int64)
-        steps = np.diff(first, prepend=0)
-        steps[edges] = first[edges]
-        return _blobs(shard, words.shards, steps.astype("<u4"), (pairs & U(0xFFFFFFFF)).astype("<u4"), counts[order].astype("<u4"))
+            yield from flush(held)
+
+    def flush(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        grams = [np.concatenate([h[i] for h in held]) for i in range(order)]
+        # Sorted by words, not by hash: so they pack well.
+        key = grams[0].astype(U) << U(32) | grams[1]
+        for i in range(2, order):
+            key = np.unique(key, return_inverse=True)[1]
+            key = key.astype(U) << U(32) | grams[i]
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+        grams = [g[first].astype(U) for g in grams]
+        yield from _dealt(_shard(mixed(_keys(grams)), words.shards), words.shards, grams, counts.astype("<u4"))
 
     return run
 
 
-def _pairs(numbers: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray:
-    """context << 32 | word of every token; a text's first token follows ``begin``."""
-    before = np.empty_like(numbers)
-    before[1:] = numbers[:-1]
-    before[np.cumsum(lengths) - lengths] = begin
-    return before.astype(U) << U(32) | numbers.astype(U) & U(0xFFFFFFFF)
-
+def _save_grams(words: Words, n: int, top: bool):
+    """Write a shard of the n-grams and hand on what the shorter ones need of it: context counts and different words before."""
 
-def _save_bigrams(words: Words):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        first, second, counts = _columns(table.column("blob"), "delta", "<u4", "<u4")
-        pairs, counts = _summed(first.astype(U) << U(32) | second.astype(U), counts)
-        save_array(words.folder, f"bigrams-{shard}", pairs)
-        save_array(words.folder, f"bigram-counts-{shard}", np.minimum(counts, 255).astype("u1"))
-        many = counts >= 255
-        save_array(words.folder, f"many-{shard}", pairs[many])
-        save_array(words.folder, f"many-counts-{shard}", counts[many])
-        # What contexts and words need of this shard: bigrams seen once, twice, more often; words seen before.
-        first, second = (pairs >> U(32)).astype(np.int64), (pairs & U(0xFFFFFFFF)).astype(np.int64)
-        v, *seen = _summed(first, counts == 1, counts == 2, counts > 2)
-        w, before = _summed(second, np.ones(len(second), np.int64))
-        none = np.zeros(len(w), np.int64)
-        number = np.concatenate([v, w])
-        columns = [np.concatenate([a, none]) for a in seen] + [np.concatenate([np.zeros(len(v), np.int64), before])]
-        number, *columns = _summed(number, *columns)
-        home = np.minimum(np.searchsorted(np.asarray(words.starts), number, side="right") - 1, words.shards)
-        order = np.argsort(home, kind="stable")
-        batch = next(_blobs(home[order], words.shards + 1, number[order], *[c[order] for c in columns]))
-        of_counts = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
-        rows = len(batch)
-        tally = {f"t{i + 1}": pa.array([t if r == 0 else 0 for r in range(rows)], pa.int64()) for i, t in enumerate(of_counts)}
-        return pa.table({"shard": batch.column(0), "blob": batch.column(1), **tally})
+        columns = _columns(table.column("blob"), *["<u4"] * n, *(["<u4"] if top else ["<i8"] * 5))
+        stats = columns[n:] + [np.zeros(len(columns[n]), np.int64)] * 4 if top else columns[n:]
+        keys, grams, stats = _merged([c.astype(U) for c in columns[:n]], stats)
+        whole = grams[0] != U(words.distinct + 1)
+        shorter = [g[~whole] for g in grams[1:]]
+        passed = stats[0][~whole]
+        keys, grams, (a, total, *seen) = keys[whole], [g[whole] for g in grams], [x[whole] for x in stats]
+        wide = np.flatnonzero((a >= SMALL) | (total > 1))
+        small = np.minimum(a, SMALL - 1).astype("u1") | (total == 1).astype("u1") << 7
+        arrays = {"keys": keys, "small": small, "at": wide.astype("<u4"), "a": a[wide], "total": total[wide]}
+        arrays |= {f"seen{i}": x[wide].astype("<u4") for i, x in enumerate(seen, 1)}
+        for name, array in arrays.items():
+            save_array(words.folder, f"{name}{n}-{shard}", array)
+        save_array(words.folder, f"tally{n}-{shard}", np.array([(a == i).sum() for i in (1, 2, 3, 4)], "<i8"))
+        none, one = np.zeros(len(a), np.int64), np.ones(len(a), np.int64)
+        grams = [np.concatenate([x, y, z]) for x, y, z in zip(grams[:-1], grams[1:], shorter, strict=True)]
+        spare = np.zeros(len(passed), np.int64)
+        after = [np.concatenate([x, none, spare]) for x in (a, a == 1, a == 2, a > 2)]
+        below, grams, stats = _merged(grams, [np.concatenate([none, one, passed]), *after])
+        if n > 2:
+            home = _shard(mixed(below), words.shards)
+        else:
+            home = np.minimum(np.searchsorted(np.asarray(words.starts), below.astype(np.int64), side="right") - 1, words.shards)
+        return pa.Table.from_batches(_dealt(home, words.shards + 1, grams, *stats))
 
     return run
 
 
-def _save_contexts(words: Words, discounts: tuple[float, float, float]):
-    """Beside the words: the mass that a context leaves to the lower order, and the number of different words before a word."""
+def _save_contexts(words: Words):
+    """Beside the words: how often a context was seen, with words once, twice or more often after it, and the number of different words before a word."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        number, n1, n2, n3, before = _summed(*_columns(table.column("blob"), "<i8", "<i8", "<i8", "<i8", "<i8"))
-        left = discounts[0] * n1 + discounts[1] * n2 + discounts[2] * n3
-        if shard < words.shards:
-            size = words.starts[shard + 1] - words.starts[shard]
-            counts = array_of(words.folder, f"counts-{shard}", "<i8")
-            mass, preceded = np.ones(size), np.zeros(size, np.int64)
-            at = number - words.starts[shard]
-            mass[at] = np.where(n1 + n2 + n3 > 0, left / counts[at], 1.0)
-            preceded[at] = before
-        else:
-            # The beginning of a text, as a context, lies behind the last word.
-            mass, preceded = left.astype(float), before
-        save_array(words.folder, f"mass-{shard}", mass)
-        save_array(words.folder, f"before-{shard}", preceded)
-        t = [int((preceded == i).sum()) for i in (1, 2, 3, 4)]
-        sums = [int(x) for x in ((preceded > 0).sum(), (preceded > 2).sum(), preceded.sum())]
-        return pa.table({c: [x] for c, x in zip(("t1", "t2", "t3", "t4", "seen", "seen3", "total"), t + sums, strict=True)})
+        _, (number,), stats = _merged(*(lambda c: ([c[0].astype(U)], c[1:]))(_columns(table.column("blob"), "<u4", *["<i8"] * 5)))
+        # The beginning of a text, as a context, lies behind the last word.
+        size = words.starts[shard + 1] - words.starts[shard] if shard < words.shards else 1
+        for name, column in zip(("a", "total", "seen1", "seen2", "seen3"), stats, strict=True):
+            array = np.zeros(size, "<i8")
+            array[number.astype(np.int64) - words.starts[shard]] = column
+            save_array(words.folder, f"{name}1-{shard}", array)
+        a = stats[0]
+        return pa.table({f"t{i}": [int((a == i).sum())] for i in (1, 2, 3, 4)} | {"more": [int((a > 2).sum())], "total": [int(a.sum())]})
 
     return run
 
@@ -316,31 +333,36 @@ def discounts(t1: int, t2: int, t3: int, t4: int) -> tuple[float, float, float]:
 @dataclass(frozen=True)
 class Model:
     words: Words
-    spread: tuple[int, ...]
-    texts: int
-    high: tuple[float, float, float]
-    low: tuple[float, float, float]
+    order: int
+    #: The discounts of each order, words first.
+    cuts: tuple[tuple[float, float, float], ...]
     low_total: int
     low_mass: float
 
-    def bigram_counts(self, pairs: np.ndarray) -> np.ndarray:
-        """Count of each of these sorted, distinct pairs."""
-        out = np.zeros(len(pairs), np.int64)
-        shard = _bigram_shard(pairs >> U(32), pairs & U(0xFFFFFFFF), self.words.shards, np.asarray(self.spread, U))
+    def found(self, keys: np.ndarray, n: int) -> np.ndarray:
+        """Rows a, total, seen 1, 2, 3 of each of these distinct n-grams, 0 where unknown."""
+        out = np.zeros((5, len(keys)), np.int64)
+        shard = _shard(mixed(keys), self.words.shards)
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.words.shards + 1))
         for s in range(self.words.shards):
             own = order[edges[s] : edges[s + 1]]
-            known = array_of(self.words.folder, f"bigrams-{s}", "<u8") if len(own) else ()
+            known = array_of(self.words.folder, f"keys{n}-{s}", "<u8") if len(own) else ()
             if not len(known):
                 continue
-            at = np.minimum(np.searchsorted(known, pairs[own]), len(known) - 1)
-            found = np.where(known[at] == pairs[own], array_of(self.words.folder, f"bigram-counts-{s}", "u1")[at], 0).astype(np.int64)
-            if (found == 255).any():
-                big = found == 255
-                many = array_of(self.words.folder, f"many-{s}", "<u8")
-                found[big] = array_of(self.words.folder, f"many-counts-{s}", "<i8")[np.searchsorted(many, pairs[own][big])]
-            out[own] = found
+            at = np.minimum(np.searchsorted(known, keys[own]), len(known) - 1)
+            hit = known[at] == keys[own]
+            own, at = own[hit], at[hit]
+            small = array_of(self.words.folder, f"small{n}-{s}", "u1")[at]
+            out[0, own], out[1, own] = small & (SMALL - 1), small >> 7
+            # What a context seen once goes on with was seen once.
+            out[2, own] = small >> 7
+            wide = array_of(self.words.folder, f"at{n}-{s}", "<u4")
+            if len(wide) and len(at):
+                place = np.minimum(np.searchsorted(wide, at), len(wide) - 1)
+                big = wide[place] == at
+                for row, (name, dtype) in enumerate((("a", "<i8"), ("total", "<i8"), ("seen1", "<u4"), ("seen2", "<u4"), ("seen3", "<u4"))):
+                    out[row, own[big]] = array_of(self.words.folder, f"{name}{n}-{s}", dtype)[place[big]]
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -351,26 +373,27 @@ class Model:
         counts = words.look_up("counts", "<i8", numbers, 0.0)
         rows = np.repeat(np.arange(len(lengths)), lengths)
         base = np.log10((counts + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
-        before = words.look_up("before", "<i8", numbers, 0.0)
-        spare = self.low_mass / (words.distinct + 1)
-        lower = np.maximum(before - _discount(before, self.low), 0) / max(self.low_total, 1) + spare
-        mass = words.look_up("mass", "<f8", numbers, 1.0)
-        begin_mass = array_of(words.folder, f"mass-{words.shards}", "<f8") if self.texts else ()
         known = numbers >= 0
-        token = numbers[codes]
-        lookups = _pairs(token, lengths, words.distinct)
+        spare = self.low_mass / (words.distinct + 1)
+        one = np.array([words.look_up(f"{c}1", "<i8", numbers, 0.0) for c in ("a", "total", "seen1", "seen2", "seen3")]) if self.cuts else np.zeros((5, len(numbers)))
+        lower = np.maximum(one[0] - _discount(one[0], self.cuts[0]), 0) / max(self.low_total, 1) + spare if self.cuts else np.full(len(numbers), spare)
+        p = lower[codes]
         starts = np.cumsum(lengths) - lengths
-        context_known, context_mass, context_count = np.empty(len(codes), bool), np.empty(len(codes)), np.empty(len(codes))
-        context_known[1:], context_mass[1:], context_count[1:] = known[codes[:-1]], mass[codes[:-1]], counts[codes[:-1]]
-        context_known[starts] = len(begin_mass) > 0
-        context_mass[starts] = begin_mass[0] / self.texts if len(begin_mass) else 1.0
-        context_count[starts] = max(self.texts, 1)
-        found = np.zeros(len(codes))
-        both = context_known & known[codes]
-        distinct, place = np.unique(lookups[both], return_inverse=True)
-        found[both] = self.bigram_counts(distinct)[place]
-        upper = np.maximum(found - _discount(found, self.high), 0) / np.maximum(context_count, 1)
-        p = upper + np.where(context_known, context_mass, 1.0) * lower[codes]
+        grams = _grams(numbers[codes], lengths, words.distinct, self.order) if self.cuts else []
+        level = one[:, codes]
+        for n in range(2, self.order + 1 if self.cuts else 2):
+            context = np.zeros_like(level)
+            context[:, 1:] = level[:, :-1]
+            context[:, starts] = 0
+            if n == 2:
+                begin = [array_of(words.folder, f"{c}1-{words.shards}", "<i8")[0] for c in ("a", "total", "seen1", "seen2", "seen3")]
+                context[:, starts] = np.array(begin)[:, None]
+            distinct, place = np.unique(_keys(grams[-n:]), return_inverse=True)
+            level = self.found(distinct, n)[:, place]
+            total = np.maximum(context[1], 1)
+            mass = (np.asarray(self.cuts[n - 1]) @ context[2:]) / total
+            own = np.maximum(level[0] - _discount(level[0], self.cuts[n - 1]), 0) / total
+            p = np.where(context[1] > 0, own + mass * p, p)
         sums = [np.bincount(rows, weights=x, minlength=len(lengths)) for x in (known[codes], base[codes], np.log10(p))]
         return lengths, sums[0].astype(np.int64), sums[1], sums[2]
 
@@ -379,38 +402,45 @@ def _discount(counts: np.ndarray, values: tuple[float, float, float]) -> np.ndar
     return np.select([counts == 1, counts == 2, counts > 2], values, 0.0)
 
 
-def fit(texts: DataFrame, shards: int | None = None) -> Model:
-    """A model of the column ``text``: all counts over all rows. A null text counts as empty (its end only).
+def fit(texts: DataFrame, shards: int | None = None, order: int = ORDER) -> Model:
+    """A model of the column ``text`` with n-grams of up to ``order`` words (2 at least): all counts over all rows. A null text counts as
+    empty (its end only).
 
     Vocabularies are numbered in 32 bits: up to 4.29 thousand million different words.
     """
+    if order < 2:
+        raise ValueError("order is 2 at least")
     spark = texts.sparkSession
     shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = work_dir(spark, "kneser-ney")
     rows = texts.select("text")
-    one = rows.mapInArrow(_count_words(shards), BLOBS).groupBy("shard")
-    saved = one.applyInArrow(_save_words(folder), "shard int, n long, total long, top array<long>, top_n array<long>")
-    saved = sorted(materialize(saved, "kneser-ney-words").collect(), key=lambda r: r["shard"])
+    one = rows.mapInArrow(_count_words(shards), BLOBS).groupBy("shard").applyInArrow(_save_words(folder), "shard int, n long, total long")
+    saved = sorted(materialize(one, "kneser-ney-words").collect(), key=lambda r: r["shard"])
     sizes = {r["shard"]: r["n"] for r in saved}
     starts = np.cumsum([0] + [sizes.get(s, 0) for s in range(shards)]).tolist()
     words = Words(folder, shards, tuple(starts), sum(r["total"] for r in saved))
-    if words.distinct >= 2**32 - 1:
+    if words.distinct >= 2**32 - 4:
         raise ValueError("more than 4.29 thousand million different words")
     if not saved:
-        return Model(words, (), 0, (0.5,) * 3, (0.5,) * 3, 0, 1.0)
-    least = SPREAD * words.total / shards
-    top = [(h % 2**64, n) for r in saved for h, n in zip(r["top"], r["top_n"], strict=True)]
-    ends = dict(top).get(int(END), 0) or int(words.look_up("counts", "<i8", words.numbers(np.array([END], U)), 0)[0])
-    spread = np.sort(np.append(words.numbers(np.array([h for h, n in top if n >= least], U)), [words.distinct]).astype(U))
-    two = rows.mapInArrow(_count_bigrams(words, spread), BLOBS).groupBy("shard")
-    parts = materialize(two.applyInArrow(_save_bigrams(words), f"{BLOBS}, t1 long, t2 long, t3 long, t4 long"), "kneser-ney-bigrams")
-    tally = parts.agg(*[F.sum(f"t{i}") for i in (1, 2, 3, 4)]).first()
-    high = discounts(*tally)
-    three = parts.groupBy("shard").applyInArrow(_save_contexts(words, high), "t1 long, t2 long, t3 long, t4 long, seen long, seen3 long, total long")
-    t = materialize(three, "kneser-ney-contexts").agg(*[F.sum(c).alias(c) for c in ("t1", "t2", "t3", "t4", "seen3", "total")]).first()
-    low = discounts(*t[:4])
-    low_mass = (low[0] * t["t1"] + low[1] * t["t2"] + low[2] * t["seen3"]) / max(t["total"], 1)
-    return Model(words, tuple(int(x) for x in spread), ends, high, low, t["total"], low_mass)
+        return Model(words, order, (), 0, 1.0)
+    # Every shard has files, so that none is missed by a reader.
+    for s in range(shards):
+        for n in range(2, order + 1):
+            for name in ("keys", "tally"):
+                save_array(folder, f"{name}{n}-{s}", np.empty(0, "<i8"))
+    level = rows.mapInArrow(_count_grams(words, order), BLOBS)
+    for n in range(order, 1, -1):
+        level = level.groupBy("shard").applyInArrow(_save_grams(words, n, n == order), BLOBS)
+    tallies = ("t1", "t2", "t3", "t4", "more", "total")
+    contexts = level.groupBy("shard").applyInArrow(_save_contexts(words), ", ".join(f"{c} long" for c in tallies))
+    t = materialize(contexts, "kneser-ney-contexts").agg(*[F.sum(c).alias(c) for c in tallies]).first()
+    cuts = [discounts(t["t1"], t["t2"], t["t3"], t["t4"])]
+    for n in range(2, order + 1):
+        held = [open_array(folder, f"tally{n}-{s}", "<i8") for s in range(shards)]
+        cuts.append(discounts(*np.sum([h for h in held if len(h)] or [[0] * 4], axis=0).tolist()))
+    low = cuts[0]
+    low_mass = (low[0] * t["t1"] + low[1] * t["t2"] + low[2] * t["more"]) / max(t["total"], 1)
+    return Model(words, order, tuple(cuts), t["total"], low_mass)
 
 
 def _scores(model: Model):
@@ -425,7 +455,7 @@ def _scores(model: Model):
     return run
 
 
-def score(docs: DataFrame, held_out: F.Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out: F.Column, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
     The model learns from the rows that ``held_out`` does not mark; a null mark counts as false. Null texts count as
@@ -433,6 +463,6 @@ def score(docs: DataFrame, held_out: F.Column, key: str = "doc_id", text: str =
     Other columns are ignored; an empty table stays empty.
     """
     rows = docs.select(F.col(key), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    model = fit(rows.where("not held_out"))
+    model = fit(rows.where("not held_out"), order=order)
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(_scores(model), f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

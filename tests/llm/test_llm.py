@@ -164,25 +164,37 @@ def test_kneser_ney_sums_to_one_and_takes_every_case(spark, documents):
     assert all(0 < p < 1 for p in [*whole.values(), *stop.values(), *ends.values()])
 
 
-def test_kneser_ney_equals_brute_force(sf):
-    got = {r["doc_id"]: r for r in kneser_ney.score(sf, F.crc32(F.col("doc_id").cast("string")) % 5 == 1).collect()}
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_equals_brute_force(sf, order):
+    rows = kneser_ney.score(sf, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, order=order).collect()
     docs = [(r["doc_id"], words(r["text"]) + [1]) for r in sf.select("doc_id", "text").collect()]
     train = [t for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1]
-    single, pairs = Counter(w for t in train for w in t), Counter(p for t in train for p in zip([0, *t[:-1]], t))
-    before = Counter(w for _, w in pairs)
-    high, low = (kneser_ney.discounts(*[sum(c == i for c in x.values()) for i in (1, 2, 3, 4)]) for x in (pairs, before))
-    cut = lambda c, d: d[min(c, 3) - 1] if c else 0
-    follow, mass = Counter(), Counter()
-    for (v, _), c in pairs.items():
-        follow[v] += c
-        mass[v] += cut(c, high)
-    spare = sum(cut(c, low) for c in before.values()) / len(pairs) / (len(single) + 1)
+    single = Counter(w for t in train for w in t)
+    # Raw counts of all n-grams; 0 begins a text. Lower orders count different words before, but for n-grams that begin a text.
+    raw = {n: Counter(tuple(([0] + t)[i : i + n]) for t in train for i in range(len(t) + 2 - n)) for n in range(1, order + 1)}
+    counts = {order: raw[order]}
+    for n in range(order - 1, 0, -1):
+        before = Counter(g[1:] for g in raw[n + 1])
+        counts[n] = before + Counter({g: c for g, c in raw[n].items() if g[0] == 0}) if n > 1 else before
+    cuts = {n: kneser_ney.discounts(*[sum(c == i for c in counts[n].values()) for i in (1, 2, 3, 4)]) for n in counts}
+    cut = lambda c, n: cuts[n][min(c, 3) - 1] if c else 0
+    total, mass = Counter(), Counter()
+    for n in range(1, order + 1):
+        for g, c in counts[n].items():
+            total[n, g[:-1]] += c
+            mass[n, g[:-1]] += cut(c, n)
+
+    def chance(gram):
+        n = len(gram)
+        less = chance(gram[1:]) if n > 1 else 1 / (len(single) + 1)
+        all_ = total[n, gram[:-1]]
+        return max(counts[n][gram] - cut(counts[n][gram], n), 0) / all_ + mass[n, gram[:-1]] / all_ * less if all_ else less
+
+    got = {r["doc_id"]: r for r in rows}
     for i, t in docs[:60]:
-        total = 0.0
-        for v, w in zip([0, *t[:-1]], t):
-            p = max(before[w] - cut(before[w], low), 0) / len(pairs) + spare
-            total += np.log10(max(pairs[v, w] - cut(pairs[v, w], high), 0) / follow[v] + mass[v] / follow[v] * p if v in follow else p)
-        assert got[i]["score"] == pytest.approx(total, rel=1e-9) and got[i]["n_known"] == sum(w in single for w in t)
+        whole = [0, *t]
+        expected = sum(np.log10(chance(tuple(whole[max(0, j + 1 - order) : j + 1]))) for j in range(1, len(whole)))
+        assert got[i]["score"] == pytest.approx(expected, rel=1e-9) and got[i]["n_known"] == sum(w in single for w in t)
 
 
 def test_personal_data(spark, documents, sf):
