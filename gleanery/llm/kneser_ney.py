@@ -2,7 +2,8 @@
 
 Counts are gathered in tasks, dealt out by hash and summed shard by shard, the longest n-grams first; each level hands the next what it needs of
 it. Each shard is written to the shared folder as plain sorted arrays, which workers map into memory and search: word hashes give a word
-its number (shard and place), pairs of numbers, and hashes of longer n-grams, find an n-gram. N-grams are dealt by all their words, so no context is a group.
+its number (shard and place), pairs of numbers, and hashes of longer n-grams, find an n-gram. N-grams are dealt by their inner
+words, which both shorter n-grams share, so a shard hands on each but once; those with common inner words are dealt by all their words.
 
 p(w | u v) = (c(uvw) - D(c(uvw))) / c(uv.) + g(uv) p(w | v), with three discounts of the order from its counts of counts. In the
 lower orders the number of different words before an n-gram stands for its count; n-grams that begin a text keep their counts,
@@ -28,7 +29,9 @@ from gleanery.llm.words import mixed, slices, split
 from gleanery.session import materialize, work_dir
 
 #: Tokens that a task counts before it hands its counts over.
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 3_000_000
+#: A word is common from this share of all tokens in a shard of average size on.
+SPREAD = 0.25
 #: Words of the longest n-grams, unless a caller says otherwise.
 ORDER = 3
 #: Counts below this are kept in one byte, whose highest bit marks a context that was seen once.
@@ -97,18 +100,24 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> U(32)) * U(shards) >> U(32)).astype(np.int64)
 
 
-def _blobs(shard_of: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Columns, ordered by shard, as a row for each shard that has any."""
+def _blobs(shard_of: np.ndarray, shards: int, *columns: np.ndarray, deltas: int = 0) -> Iterator[pa.RecordBatch]:
+    """Columns, ordered by shard, as a row for each shard that has any; the first ``deltas`` as differences, all byte by byte, as that packs best."""
+
+    def packed_bytes(i: int, column: np.ndarray) -> bytes:
+        if i < deltas:
+            column = np.diff(column, prepend=column.dtype.type(0))
+        return np.ascontiguousarray(column).view("u1").reshape(len(column), -1).T.tobytes()
+
     edges = np.searchsorted(shard_of, np.arange(shards + 1))
     rows = [s for s in range(shards) if edges[s] < edges[s + 1]]
-    blobs = [pa.compress(b"".join(c[edges[s] : edges[s + 1]].tobytes() for c in columns), "zstd", asbytes=True) for s in rows]
+    blobs = [pa.compress(b"".join(packed_bytes(i, c[edges[s] : edges[s + 1]]) for i, c in enumerate(columns)), "zstd", asbytes=True) for s in rows]
     sizes = [int(edges[s + 1] - edges[s]) for s in rows]
     packed = [np.int64(n).tobytes() + blob for n, blob in zip(sizes, blobs, strict=True)]
     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(packed, pa.binary())], names=["shard", "blob"])
 
 
 def _columns(blobs: pa.ChunkedArray, *dtypes: str) -> list[np.ndarray]:
-    """The columns that :func:`_blobs` packed; ``delta`` stands for rising 32-bit numbers kept as differences."""
+    """The columns that :func:`_blobs` packed; ``delta`` stands for 32-bit numbers kept as differences."""
     parts = []
     types = [np.dtype("<u4" if d == "delta" else d) for d in dtypes]
     for blob in blobs:
@@ -117,8 +126,8 @@ def _columns(blobs: pa.ChunkedArray, *dtypes: str) -> list[np.ndarray]:
         data = pa.decompress(raw[8:], n * sum(t.itemsize for t in types), "zstd", asbytes=True)
         at, columns = 0, []
         for d, t in zip(dtypes, types, strict=True):
-            column = np.frombuffer(data, t, n, at)
-            columns.append(np.cumsum(column, dtype=np.uint64) if d == "delta" else column)
+            column = np.ascontiguousarray(np.frombuffer(data, "u1", n * t.itemsize, at).reshape(t.itemsize, n).T).view(t).reshape(n)
+            columns.append(np.cumsum(column, dtype="<u4") if d == "delta" else column)
             at += n * t.itemsize
         parts.append(columns)
     return [np.concatenate([p[i] for p in parts]) for i in range(len(dtypes))]
@@ -160,7 +169,9 @@ def _save_words(folder: str):
         words, counts = _summed(*_columns(table.column("blob"), "<u8", "<i8"))
         save_array(folder, f"words-{shard}", words)
         save_array(folder, f"counts-{shard}", counts)
-        return pa.table([pa.array([shard], pa.int32()), pa.array([len(words)]), pa.array([int(counts.sum())])], names=["shard", "n", "total"])
+        top = np.argsort(-counts, kind="stable")[:64]
+        lists = [pa.array([x], pa.list_(pa.int64())) for x in (words[top].view(np.int64), counts[top])]
+        return pa.table([pa.array([shard], pa.int32()), pa.array([len(words)]), pa.array([int(counts.sum())]), *lists], names=["shard", "n", "total", "top", "top_n"])
 
     return run
 
@@ -229,6 +240,15 @@ def _keys(grams: list[np.ndarray]) -> np.ndarray:
     return key
 
 
+def _home(grams: list[np.ndarray], shards: int, spread: np.ndarray) -> np.ndarray:
+    """Shard by the inner words; where all of these are in ``spread``, and for pairs, by all words."""
+    inner = grams[1:-1]
+    if not inner:
+        return _shard(mixed(_keys(grams)), shards)
+    common = np.logical_and.reduce([np.isin(word, spread) for word in inner])
+    return _shard(np.where(common, mixed(_keys(grams)), mixed(_keys(inner) + U(1))), shards)
+
+
 def _merged(grams: list[np.ndarray], stats: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Distinct n-grams in the order of their keys, with summed columns."""
     keys = _keys(grams)
@@ -241,10 +261,10 @@ def _merged(grams: list[np.ndarray], stats: list[np.ndarray]) -> tuple[np.ndarra
 
 def _dealt(shard: np.ndarray, shards: int, grams: list[np.ndarray], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     order = np.argsort(shard, kind="stable")
-    yield from _blobs(shard[order], shards, *[g[order].astype("<u4") for g in grams], *[c[order] for c in columns])
+    yield from _blobs(shard[order], shards, *[g[order].astype("<u4") for g in grams], *[c[order] for c in columns], deltas=len(grams))
 
 
-def _count_grams(words: Words, order: int):
+def _count_grams(words: Words, order: int, spread: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
@@ -260,24 +280,26 @@ def _count_grams(words: Words, order: int):
 
     def flush(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         grams = [np.concatenate([h[i] for h in held]) for i in range(order)]
-        # Sorted by words, not by hash: so they pack well.
-        key = grams[0].astype(U) << U(32) | grams[1]
-        for i in range(2, order):
+        held.clear()
+        # Sorted by words, the inner ones first, not by hash: so they pack well.
+        first, second, *rest = [*range(1, order - 1), 0, order - 1]
+        key = grams[first].astype(U) << U(32) | grams[second]
+        for i in rest:
             key = np.unique(key, return_inverse=True)[1]
             key = key.astype(U) << U(32) | grams[i]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        grams = [g[first].astype(U) for g in grams]
-        yield from _dealt(_shard(mixed(_keys(grams)), words.shards), words.shards, grams, counts.astype("<u4"))
+        _, at, counts = np.unique(key, return_index=True, return_counts=True)
+        grams = [g[at].astype(U) for g in grams]
+        yield from _dealt(_home(grams, words.shards, spread), words.shards, grams, counts.astype("<u4"))
 
     return run
 
 
-def _save_grams(words: Words, n: int, top: bool):
+def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
     """Write a shard of the n-grams and hand on what the shorter ones need of it: context counts and different words before."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        columns = _columns(table.column("blob"), *["<u4"] * n, *(["<u4"] if top else ["<i8"] * 5))
+        columns = _columns(table.column("blob"), *["delta"] * n, *(["<u4"] if top else ["<i8"] * 5))
         stats = columns[n:] + [np.zeros(len(columns[n]), np.int64)] * 4 if top else columns[n:]
         keys, grams, stats = _merged([c.astype(U) for c in columns[:n]], stats)
         whole = grams[0] != U(words.distinct + 1)
@@ -297,7 +319,7 @@ def _save_grams(words: Words, n: int, top: bool):
         after = [np.concatenate([x, none, spare]) for x in (a, a == 1, a == 2, a > 2)]
         below, grams, stats = _merged(grams, [np.concatenate([none, one, passed]), *after])
         if n > 2:
-            home = _shard(mixed(below), words.shards)
+            home = _home(grams, words.shards, spread)
         else:
             home = np.minimum(np.searchsorted(np.asarray(words.starts), below.astype(np.int64), side="right") - 1, words.shards)
         return pa.Table.from_batches(_dealt(home, words.shards + 1, grams, *stats))
@@ -310,7 +332,7 @@ def _save_contexts(words: Words):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        _, (number,), stats = _merged(*(lambda c: ([c[0].astype(U)], c[1:]))(_columns(table.column("blob"), "<u4", *["<i8"] * 5)))
+        _, (number,), stats = _merged(*(lambda c: ([c[0].astype(U)], c[1:]))(_columns(table.column("blob"), "delta", *["<i8"] * 5)))
         # The beginning of a text, as a context, lies behind the last word.
         size = words.starts[shard + 1] - words.starts[shard] if shard < words.shards else 1
         for name, column in zip(("a", "total", "seen1", "seen2", "seen3"), stats, strict=True):
@@ -334,15 +356,17 @@ def discounts(t1: int, t2: int, t3: int, t4: int) -> tuple[float, float, float]:
 class Model:
     words: Words
     order: int
+    spread: tuple[int, ...]
     #: The discounts of each order, words first.
     cuts: tuple[tuple[float, float, float], ...]
     low_total: int
     low_mass: float
 
-    def found(self, keys: np.ndarray, n: int) -> np.ndarray:
+    def found(self, grams: list[np.ndarray]) -> np.ndarray:
         """Rows a, total, seen 1, 2, 3 of each of these distinct n-grams, 0 where unknown."""
+        keys, n = _keys(grams), len(grams)
         out = np.zeros((5, len(keys)), np.int64)
-        shard = _shard(mixed(keys), self.words.shards)
+        shard = _home(grams, self.words.shards, np.asarray(self.spread, U))
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.words.shards + 1))
         for s in range(self.words.shards):
@@ -388,8 +412,8 @@ class Model:
             if n == 2:
                 begin = [array_of(words.folder, f"{c}1-{words.shards}", "<i8")[0] for c in ("a", "total", "seen1", "seen2", "seen3")]
                 context[:, starts] = np.array(begin)[:, None]
-            distinct, place = np.unique(_keys(grams[-n:]), return_inverse=True)
-            level = self.found(distinct, n)[:, place]
+            _, first, place = np.unique(_keys(grams[-n:]), return_index=True, return_inverse=True)
+            level = self.found([g[first] for g in grams[-n:]])[:, place]
             total = np.maximum(context[1], 1)
             mass = (np.asarray(self.cuts[n - 1]) @ context[2:]) / total
             own = np.maximum(level[0] - _discount(level[0], self.cuts[n - 1]), 0) / total
@@ -414,7 +438,7 @@ def fit(texts: DataFrame, shards: int | None = None, order: int = ORDER) -> Mode
     shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = work_dir(spark, "kneser-ney")
     rows = texts.select("text")
-    one = rows.mapInArrow(_count_words(shards), BLOBS).groupBy("shard").applyInArrow(_save_words(folder), "shard int, n long, total long")
+    one = rows.mapInArrow(_count_words(shards), BLOBS).groupBy("shard").applyInArrow(_save_words(folder), "shard int, n long, total long, top array<long>, top_n array<long>")
     saved = sorted(materialize(one, "kneser-ney-words").collect(), key=lambda r: r["shard"])
     sizes = {r["shard"]: r["n"] for r in saved}
     starts = np.cumsum([0] + [sizes.get(s, 0) for s in range(shards)]).tolist()
@@ -422,15 +446,18 @@ def fit(texts: DataFrame, shards: int | None = None, order: int = ORDER) -> Mode
     if words.distinct >= 2**32 - 4:
         raise ValueError("more than 4.29 thousand million different words")
     if not saved:
-        return Model(words, order, (), 0, 1.0)
+        return Model(words, order, (), (), 0, 1.0)
+    least = SPREAD * words.total / shards
+    top = np.array([h % 2**64 for r in saved for h, n in zip(r["top"], r["top_n"], strict=True) if n >= least], U)
+    spread = np.sort(np.append(words.numbers(top), [words.distinct]).astype(U))
     # Every shard has files, so that none is missed by a reader.
     for s in range(shards):
         for n in range(2, order + 1):
             for name in ("keys", "tally"):
                 save_array(folder, f"{name}{n}-{s}", np.empty(0, "<i8"))
-    level = rows.mapInArrow(_count_grams(words, order), BLOBS)
+    level = rows.mapInArrow(_count_grams(words, order, spread), BLOBS)
     for n in range(order, 1, -1):
-        level = level.groupBy("shard").applyInArrow(_save_grams(words, n, n == order), BLOBS)
+        level = level.groupBy("shard").applyInArrow(_save_grams(words, n, n == order, spread), BLOBS)
     tallies = ("t1", "t2", "t3", "t4", "more", "total")
     contexts = level.groupBy("shard").applyInArrow(_save_contexts(words), ", ".join(f"{c} long" for c in tallies))
     t = materialize(contexts, "kneser-ney-contexts").agg(*[F.sum(c).alias(c) for c in tallies]).first()
@@ -440,7 +467,7 @@ def fit(texts: DataFrame, shards: int | None = None, order: int = ORDER) -> Mode
         cuts.append(discounts(*np.sum([h for h in held if len(h)] or [[0] * 4], axis=0).tolist()))
     low = cuts[0]
     low_mass = (low[0] * t["t1"] + low[1] * t["t2"] + low[2] * t["more"]) / max(t["total"], 1)
-    return Model(words, order, tuple(cuts), t["total"], low_mass)
+    return Model(words, order, tuple(int(x) for x in spread), tuple(cuts), t["total"], low_mass)
 
 
 def _scores(model: Model):
