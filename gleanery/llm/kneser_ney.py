@@ -36,6 +36,7 @@ SPREAD = 0.25
 ORDER = 3
 #: Counts below this are kept in one byte, whose highest bit marks a context that was seen once.
 SMALL = 128
+STATS = ("a", "total", "seen1", "seen2", "seen3")
 U = np.uint64
 END = U(0xE5D)
 BLOBS = "shard int, blob binary"
@@ -294,6 +295,10 @@ def _count_grams(words: Words, order: int, spread: np.ndarray):
     return run
 
 
+def _width(column: np.ndarray) -> int:
+    return np.min_scalar_type(int(column.max()) if len(column) else 0).itemsize
+
+
 def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
     """Write a shard of the n-grams and hand on what the shorter ones need of it: context counts and different words before."""
 
@@ -308,11 +313,13 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
         keys, grams, (a, total, *seen) = keys[whole], [g[whole] for g in grams], [x[whole] for x in stats]
         wide = np.flatnonzero((a >= SMALL) | (total > 1))
         small = np.minimum(a, SMALL - 1).astype("u1") | (total == 1).astype("u1") << 7
-        arrays = {"keys": keys, "small": small, "at": wide.astype("<u4"), "a": a[wide], "total": total[wide]}
-        arrays |= {f"seen{i}": x[wide].astype("<u4") for i, x in enumerate(seen, 1)}
+        # Each column as narrow as its largest value allows; the tally tells the bytes.
+        columns = [x[wide].astype(f"<u{_width(x)}") for x in (a, total, *seen)]
+        arrays = {"keys": keys, "small": small, "at": wide.astype("<u4"), **dict(zip(STATS, columns, strict=True))}
         for name, array in arrays.items():
             save_array(words.folder, f"{name}{n}-{shard}", array)
-        save_array(words.folder, f"tally{n}-{shard}", np.array([(a == i).sum() for i in (1, 2, 3, 4)], "<i8"))
+        tally = [(a == i).sum() for i in (1, 2, 3, 4)] + [c.itemsize for c in columns]
+        save_array(words.folder, f"tally{n}-{shard}", np.array(tally, "<i8"))
         none, one = np.zeros(len(a), np.int64), np.ones(len(a), np.int64)
         grams = [np.concatenate([x, y, z]) for x, y, z in zip(grams[:-1], grams[1:], shorter, strict=True)]
         spare = np.zeros(len(passed), np.int64)
@@ -335,7 +342,7 @@ def _save_contexts(words: Words):
         _, (number,), stats = _merged(*(lambda c: ([c[0].astype(U)], c[1:]))(_columns(table.column("blob"), "delta", *["<i8"] * 5)))
         # The beginning of a text, as a context, lies behind the last word.
         size = words.starts[shard + 1] - words.starts[shard] if shard < words.shards else 1
-        for name, column in zip(("a", "total", "seen1", "seen2", "seen3"), stats, strict=True):
+        for name, column in zip(STATS, stats, strict=True):
             array = np.zeros(size, "<i8")
             array[number.astype(np.int64) - words.starts[shard]] = column
             save_array(words.folder, f"{name}1-{shard}", array)
@@ -385,8 +392,9 @@ class Model:
             if len(wide) and len(at):
                 place = np.minimum(np.searchsorted(wide, at), len(wide) - 1)
                 big = wide[place] == at
-                for row, (name, dtype) in enumerate((("a", "<i8"), ("total", "<i8"), ("seen1", "<u4"), ("seen2", "<u4"), ("seen3", "<u4"))):
-                    out[row, own[big]] = array_of(self.words.folder, f"{name}{n}-{s}", dtype)[place[big]]
+                widths = array_of(self.words.folder, f"tally{n}-{s}", "<i8")[4:]
+                for row, (name, width) in enumerate(zip(STATS, widths, strict=True)):
+                    out[row, own[big]] = array_of(self.words.folder, f"{name}{n}-{s}", f"<u{width}")[place[big]]
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -399,7 +407,7 @@ class Model:
         base = np.log10((counts + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
         known = numbers >= 0
         spare = self.low_mass / (words.distinct + 1)
-        one = np.array([words.look_up(f"{c}1", "<i8", numbers, 0.0) for c in ("a", "total", "seen1", "seen2", "seen3")]) if self.cuts else np.zeros((5, len(numbers)))
+        one = np.array([words.look_up(f"{c}1", "<i8", numbers, 0.0) for c in STATS]) if self.cuts else np.zeros((5, len(numbers)))
         lower = np.maximum(one[0] - _discount(one[0], self.cuts[0]), 0) / max(self.low_total, 1) + spare if self.cuts else np.full(len(numbers), spare)
         p = lower[codes]
         starts = np.cumsum(lengths) - lengths
@@ -410,7 +418,7 @@ class Model:
             context[:, 1:] = level[:, :-1]
             context[:, starts] = 0
             if n == 2:
-                begin = [array_of(words.folder, f"{c}1-{words.shards}", "<i8")[0] for c in ("a", "total", "seen1", "seen2", "seen3")]
+                begin = [array_of(words.folder, f"{c}1-{words.shards}", "<i8")[0] for c in STATS]
                 context[:, starts] = np.array(begin)[:, None]
             _, first, place = np.unique(_keys(grams[-n:]), return_index=True, return_inverse=True)
             level = self.found([g[first] for g in grams[-n:]])[:, place]
@@ -464,7 +472,7 @@ def fit(texts: DataFrame, shards: int | None = None, order: int = ORDER) -> Mode
     cuts = [discounts(t["t1"], t["t2"], t["t3"], t["t4"])]
     for n in range(2, order + 1):
         held = [open_array(folder, f"tally{n}-{s}", "<i8") for s in range(shards)]
-        cuts.append(discounts(*np.sum([h for h in held if len(h)] or [[0] * 4], axis=0).tolist()))
+        cuts.append(discounts(*np.sum([h[:4] for h in held if len(h)] or [[0] * 4], axis=0).tolist()))
     low = cuts[0]
     low_mass = (low[0] * t["t1"] + low[1] * t["t2"] + low[2] * t["more"]) / max(t["total"], 1)
     return Model(words, order, tuple(int(x) for x in spread), tuple(cuts), t["total"], low_mass)
