@@ -6,11 +6,11 @@ as many segments as that takes, the cheapest first: segments that are empty or w
 and where too few are left, segments are indexed with the neighbourhood of one deletion, which also finds
 a segment that differs by one shingle. The larger set looks all its segments up. Sets that meet are verified exactly.
 
-Equal sets are one set throughout. Every segment first links its sets to one of them, its centre. Sets of different components that
-still meet are then compared by what sets them apart from the centre: two sets that both differ from it little are in its
-component already, any others that are linked share some of their differences, so a prefix of the differences, joined on
-centre and shingle, finds them. A group of near copies thus costs rows in proportion to its size. Segments of few sets
-are spared the texts and compared pair by pair.
+Equal sets are one set throughout. Every set is first compared with one other, its hub: of all sets that it meets the one that meets most. Sets of
+different components that still meet are then compared by what sets them apart from one centre, the largest hub of their segment: sets that
+differ from it little are linked with it, any others that are linked share some of their differences, so a prefix of the
+differences, rarest first, joined on centre and shingle, finds them. A group of near copies thus has one centre for nearly all its segments and costs rows in proportion
+to its size. Segments with no more pairs than sets are spared the texts and compared pair by pair.
 """
 
 from __future__ import annotations
@@ -36,8 +36,6 @@ SPARE, DELETABLE = 0.25, 16
 COMMON, COMMON_KEPT = 8, 50_000
 #: Parts of a sketch.
 PARTS = 64
-#: Segments of up to so many sets are compared pair by pair, larger ones by the differences to their centre; both are exact.
-FEW = 8
 U = np.uint64
 
 
@@ -319,34 +317,38 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str =
     met = keyed.select("at", "digest", "role", *[f("digest").over(same).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))], F.min(indexed).over(same).alias("first"))
     met = met.where("first is not null and low < high").select("at", "digest", "role")
     met = materialize(met.dropDuplicates(["at", "digest", "role"]), "join-segments")
-    # The centre is the set that shares most segments with others, so near the middle of a group of copies; where only one is indexed, that one.
+    # A set's hub is the set that shares most segments with others, among all that it meets: near the middle of a group of copies.
     shared = met.withColumn("sets", F.count("*").over(same)).groupBy("digest").agg(F.sum("sets").alias("shared"))
-    ends = {"first": F.min(indexed).over(same), "last": F.max(indexed).over(same), "middle": F.max(F.struct("shared", "digest")).over(same)}
-    met = met.join(shared, "digest").withColumns(ends).withColumn("more", F.col("first") < F.col("last"))
-    met = met.select("at", "digest", "role", F.when(F.col("more"), F.col("middle.digest")).otherwise(F.col("first")).alias("centre"), "more")
-    met = materialize(met, "join-centred")
+    met = met.join(shared, "digest").withColumn("middle", F.max(F.struct("shared", "digest")).over(same)).drop("shared")
+    met = materialize(met, "join-meeting")
+    hubs = materialize(met.groupBy("digest").agg(F.max("middle").alias("hub")), "join-hubs")
 
     sets = summaries.where("n_shingles > 0").groupBy("digest").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         return materialize(_linked(_pairs(pairs, sets, percent), rows, members, width, percent), "join-links")
 
-    links = linked(met.where("digest != centre").select(F.col("centre").alias("x"), F.col("digest").alias("y")))
-    # Only segments where sets of different components still meet.
-    now = met.where("more").drop("more").join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
-    span = {"least": F.min("part").over(same), "most": F.max("part").over(same), "sets": F.count("*").over(same)}
-    now = materialize(now.drop("component").withColumns(span).where("least < most").drop("least", "most"), "join-apart")
-
-    few = now.where(F.col("sets") <= FEW)
-    left = few.where("role != 2").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
-    right = few.where("role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
+    links = linked(hubs.where("digest != hub.digest").select(F.col("hub.digest").alias("x"), F.col("digest").alias("y")))
+    # Only segments where sets of different components still meet, one of the two indexed.
+    now = met.drop("middle").join(components(links).withColumnRenamed("node", "digest"), "digest", "left").withColumn("part", F.coalesce("component", "digest"))
+    now = now.drop("component").join(hubs, "digest")
+    number = {"sets": F.count("*").over(same), "own": F.count_if(F.col("role") != 2).over(same), "centre": F.max("hub").over(same)["digest"]}
+    span = {"least": F.min("part").over(same), "most": F.max("part").over(same)}
+    now = now.withColumns({**number, **span}).where("least < most").drop("least", "most", "hub")
+    # Where there are no more pairs than sets, as where one set is indexed, the pairs are the cheaper way.
+    few = F.col("own") * (F.col("sets") - F.col("own")) + F.col("own") * (F.col("own") - 1) / 2 <= F.col("sets")
+    now = materialize(now.withColumn("few", few).drop("sets", "own"), "join-apart")
+
+    left = now.where("few and role != 2").select("at", F.col("digest").alias("x"), F.col("part").alias("x_part"))
+    right = now.where("few and role != 1").select("at", F.col("digest").alias("y"), F.col("part").alias("y_part"))
     pairs = left.join(right, (left["at"] == right["at"]) & (left["x_part"] != right["y_part"])).select("x", "y")
 
-    many = now.where((F.col("sets") > FEW) & (F.col("digest") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("digest").alias("b"), "part")
+    many = now.where("not few and digest != centre").select(F.col("centre").alias("a"), F.col("digest").alias("b"), "part")
     many = materialize(many.distinct(), "join-centres")
     apart = _with_texts(many, rows, members, width).mapInArrow(_differences(width, percent), _DIFFERENCES)
-    pairs = pairs.unionByName(_overlapping(materialize(apart, "join-differences"), percent))
-    links = links.unionByName(linked(pairs))
+    apart = materialize(apart, "join-differences")
+    near = apart.where("near").select(F.least("centre", "digest").alias("a"), F.greatest("centre", "digest").alias("b"))
+    links = links.unionByName(near).unionByName(linked(pairs.unionByName(_overlapping(_prefixes(apart), percent))))
     return members, links
 
 
@@ -375,17 +377,17 @@ def _with_texts(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: in
     return full.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a").select(*pairs.columns, "text_a", "text_b")
 
 
-_DIFFERENCES = "centre long, element long, place int, digest long, part long, n int, apart int, near boolean"
+_DIFFERENCES = "centre long, digest long, part long, n int, apart int, near boolean, index int, look_up int, elements array<long>"
 
 
 def _differences(width: int, percent: int):
-    """Rows (a, b, part, text_a, text_b) to the prefix of the shingles in which b's set and its centre a's differ.
+    """Rows (a, b, part, text_a, text_b) to the shingles in which b's set and its centre a's differ, and how many of them to index and look up.
 
-    Shingles that the centre lacks come first, each kind in hash order. Let r be (100 - percent) / (100 + percent): x and y are linked if
-    they differ in at most r (x + y) shingles. With d(x) differences to the centre c, they share at least
-    (d(x) + d(y) - r (x + y)) / 2 of them. Where that is no bound, both are linked to c. A set not linked to c thus shares
-    d(x) less the most that it and any partner may differ in; one that is linked to c shares, with a set that is not,
-    more than (d(x) + r (c - x)) / 2.
+    Let r be (100 - percent) / (100 + percent): x and y are linked if they differ in at most r (x + y) shingles. With d(x) differences to the
+    centre c, they share at least (d(x) + d(y) - r (x + y)) / 2 of them. Where that is no bound, both are linked to c. So of two
+    linked sets the one with fewer differences shares at least d(x) - r (x + y) / 2, which leaves a short prefix to index, and the
+    other d(y) - r (x + y), which leaves a longer one to look up. A set that is linked to c shares, with a set that is not, more than
+    (d(x) + r (c - x)) / 2.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,37 +400,44 @@ def _differences(width: int, percent: int):
                 b_row, b = shingles(rows.column("text_b"), width)
                 a_at = np.searchsorted(a_row, np.arange(len(texts.dictionary) + 1))
                 b_at = np.searchsorted(b_row, np.arange(rows.num_rows + 1))
-                elements, sizes, apart, near = [], [], [], []
+                elements, numbers = [], []
                 for i, c in enumerate(texts.indices.to_numpy()):
                     centre, own = a[a_at[c] : a_at[c + 1]], b[b_at[i] : b_at[i + 1]]
-                    differ = np.concatenate([np.setdiff1d(own, centre, assume_unique=True), np.setdiff1d(centre, own, assume_unique=True)])
-                    d, n, m = len(differ), len(own), len(centre)
-                    linked = d * over <= (n + m) * under
-                    shared = (d * over + under * (m - n)) // (2 * over) + 1 if linked else max(1, d - (n + n * 100 // percent) * under // over)
-                    elements.append(differ[: d - shared + 1])
-                    sizes.append(n)
-                    apart.append(d)
-                    near.append(linked)
-                counts = np.array([len(e) for e in elements], np.int64)
-                row = np.repeat(np.arange(rows.num_rows), counts)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-                flat = np.concatenate(elements).view(np.int64) if elements else np.empty(0, np.int64)
-                take = [rows.column(c).take(pa.array(row)) for c in ("a", "b", "part")]
-                numbers = [pa.array(np.array(x, kind)[row]) for x, kind in ((sizes, np.int32), (apart, np.int32), (near, bool))]
-                yield pa.RecordBatch.from_arrays([take[0], pa.array(flat), pa.array(place.astype(np.int32)), take[1], take[2], *numbers], names=names)
+                    elements.append(np.setxor1d(own, centre, assume_unique=True))
+                    d, n, m = len(elements[-1]), len(own), len(centre)
+                    most = (n + n * 100 // percent) * under
+                    near = d * over <= (n + m) * under
+                    least = (d * over + under * (m - n)) // (2 * over) + 1 if near else 1
+                    numbers.append((n, d, near, d - max(least, d - most // (2 * over)) + 1, d - max(least, d - most // over) + 1))
+                n, d, near, index, look_up = (pa.array(x, pa.bool_() if isinstance(x[0], bool) else pa.int32()) for x in zip(*numbers, strict=True))
+                columns = [*(rows.column(c) for c in ("a", "b", "part")), n, d, near, index, look_up, _lists(elements)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
+def _prefixes(apart: DataFrame) -> DataFrame:
+    """A row for every difference to be looked up that other sets have too, the rarest of a centre first: a passage that many texts share comes late."""
+    each = apart.withColumn("element", F.explode("elements")).drop("elements")
+    often = each.groupBy("centre", "element").agg(F.count("*").alias("times")).where("times > 1")
+    each = each.join(often, ["centre", "element"], "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    order = Window.partitionBy("centre", "digest").orderBy("times", "element")
+    each = each.withColumn("place", F.row_number().over(order) - 1).where("place < look_up and times > 1")
+    each = each.withColumn("indexed", F.col("place") < F.col("index"))
+    return materialize(each.drop("index", "look_up", "times"), "join-prefixes")
+
+
 def _overlapping(apart: DataFrame, percent: int) -> DataFrame:
     """x, y of different components whose differences to one centre share a shingle early enough for a link."""
-    x = apart.where("not near").select("centre", "element", *[F.col(c).alias(f"x_{c}") for c in ("digest", "part", "place", "n", "apart")])
-    y = apart.select("centre", "element", *[F.col(c).alias(f"y_{c}") for c in ("digest", "part", "place", "n", "apart", "near")])
+    columns = ("digest", "part", "place", "n", "apart", "near")
+    x = apart.where("indexed").select("centre", "element", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = apart.select("centre", "element", *[F.col(c).alias(f"y_{c}") for c in columns])
     rest = F.least(F.col("x_apart") - F.col("x_place"), F.col("y_apart") - F.col("y_place"))
     enough = 2 * (100 + percent) * rest >= (100 + percent) * (F.col("x_apart") + F.col("y_apart")) - (100 - percent) * (F.col("x_n") + F.col("y_n"))
     alike = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
-    once = F.col("y_near") | (F.col("x_digest") < F.col("y_digest"))
-    on = (x["centre"] == y["centre"]) & (x["element"] == y["element"]) & (F.col("x_part") != F.col("y_part")) & enough & alike & once
+    fewer = (F.col("x_apart") < F.col("y_apart")) | ((F.col("x_apart") == F.col("y_apart")) & (F.col("x_digest") < F.col("y_digest")))
+    apart_from_one = ~(F.col("x_near") & F.col("y_near"))
+    on = (x["centre"] == y["centre"]) & (x["element"] == y["element"]) & (F.col("x_part") != F.col("y_part")) & enough & alike & fewer & apart_from_one
     return x.join(y, on).select(F.col("x_digest").alias("x"), F.col("y_digest").alias("y"))
 
 
