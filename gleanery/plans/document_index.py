@@ -64,7 +64,7 @@ def ingest_documents(
     run_ts = run_ts or datetime.now(timezone.utc)
     points = materialize(document_points(documents, run_ts, settings.embedder), "points")
     sound = points.where("refused IS NULL").drop("refused").withColumn("change", F.lit(UPSERT))
-    written = document_table(store, buckets).apply(sound, index_suite(settings.dim, "doc_id"), ["written_at"])
+    written = document_table(store, buckets).apply(sound, index_suite(settings.dim, "doc_id"), ["written_at"], written=True)
     refused = points.where("refused IS NOT NULL").select(F.col("doc_id").alias("id"), "payload.content", "payload.category", F.col("refused").alias("reason"))
     rejects = reject_documents(documents.select("id", "content", "category")).unionByName(refused)
     rejected = store.append(rejects, REJECTED_DOCUMENTS, version)

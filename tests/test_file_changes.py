@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from gleanery.session import materialize
+from conftest import plan_of
 from gleanery.operators.quality import QualityError, Suite, not_null
 from gleanery.plans import file_changes
 from gleanery.plans.file_changes import CHUNKS, FILES, SEARCH, VECTORS, FileTables, ingest_changed_files
@@ -159,3 +161,28 @@ def test_an_emptied_folder_and_an_empty_table(spark, points):
     assert rows_of(points) == []
     points.apply(changes(spark, ("a", 2, 2, "upsert")))
     assert rows_of(points) == [("a", 2)]
+
+
+def test_rows_of_a_change_are_shuffled_once_and_copied_once(spark, points, monkeypatch):
+    """Changes and held rows meet in one exchange, and nothing but the merged rows is written ahead of the folders."""
+    from gleanery.sinks import buckets
+
+    copies = []
+
+    def recorded(df, purpose):
+        copies.append((purpose, plan_of(df).count("\nExchange") + plan_of(df).count("- Exchange")))
+        return materialize(df, purpose)
+
+    monkeypatch.setattr(buckets, "materialize", recorded)
+    points.apply(changes(spark, *[(f"k{n}", n, 0, "upsert") for n in range(50)]))
+    assert copies == [("merged", 1)]
+    copies.clear()
+    points.apply(changes(spark, ("k7", 70, 1, "upsert"), ("k9", None, 1, "delete")), written=True)
+    assert copies == [("merged", 1)]
+    assert rows_of(points) == sorted((f"k{n}", 70 if n == 7 else n) for n in range(50) if n != 9)
+
+
+def test_no_change_meets_a_held_row_without_a_key(spark, points):
+    points.apply(changes(spark, (None, 1, 0, "upsert"), ("a", 1, 0, "upsert")))
+    points.apply(changes(spark, (None, 2, 1, "upsert")))
+    assert sorted((r["k"] or "", r["v"]) for r in points.read().collect()) == [("", 1), ("", 2), ("a", 1)]
