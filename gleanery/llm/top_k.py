@@ -8,7 +8,7 @@ whose bound stays below the k-th best score known for its query is dropped, and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ LEVELS = (2, 8)
 BLOCK_ROWS = 8192
 #: Pairs bounded at a time in a task.
 CELL_PAIRS = 1 << 21
+#: Share of a cell's pairs from which on all of them are multiplied at once.
+DENSE = 1 / 64
 EXACT = 2**53
 PACKED = "ids binary, numbers binary, dim int, n int"
 HITS = "query_id long, vec_id long, score long"
@@ -92,6 +94,12 @@ def _exact(a: np.ndarray, b: np.ndarray, spec: str) -> np.ndarray:
     return np.einsum(spec, a.astype(object), b.astype(object)).astype(np.int64)
 
 
+def _gathered(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, product: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The product of each pair of rows, some pairs at a time."""
+    parts = [slice(i, i + CELL_PAIRS // 8) for i in range(0, max(1, len(at_a)), CELL_PAIRS // 8)]
+    return np.concatenate([product(a[at_a[part]], b[at_b[part]]) for part in parts])
+
+
 def _score(k: int, levels: tuple[int, ...]):
     """The k best candidates of each query in a cell (a block of queries and a block of candidates)."""
 
@@ -100,14 +108,18 @@ def _score(k: int, levels: tuple[int, ...]):
         q_ids, x_ids = (np.frombuffer(row[c], np.int64) for c in ("q_ids", "ids"))
         q, x = (np.frombuffer(row[c], np.int64).reshape(-1, dim) for c in ("q_numbers", "numbers"))
         floors = np.frombuffer(row["floors"], np.int64) if row["floors"] is not None else np.full(len(q), np.iinfo(np.int64).min)
-        features = [(segment_features(q.astype(float), s), segment_features(x.astype(float), s)) for s in levels]
+        q_floats, x_floats = q.astype(float), x.astype(float)
+        features = [(segment_features(q_floats, s), segment_features(x_floats, s)) for s in levels]
+        # Products of whole numbers below 2 ** 53 are exact in doubles, whatever the order of the sum.
+        in_doubles = np.abs(q_floats).max(initial=0) * np.abs(x_floats).max(initial=0) * dim < EXACT
+        q_norms, longest = np.linalg.norm(q_floats, axis=1), np.linalg.norm(x_floats, axis=1).max(initial=0)
         step = max(1, CELL_PAIRS // len(x))
         for a in range(0, len(q), step):
             part = slice(a, a + step)
             own = q_ids[part, None] == x_ids[None, :]
             coarse = features[0][0][part] @ features[0][1].T
             # Rounding: the bound is widened by far more than the products can lose.
-            slack = 1e-9 * np.linalg.norm(q[part].astype(float), axis=1)[:, None] * np.linalg.norm(x.astype(float), axis=1).max(initial=0) + 1e-6
+            slack = 1e-9 * q_norms[part, None] * longest + 1e-6
             coarse[own] = -np.inf
             floor = floors[part].astype(float)
             if len(x) > k:
@@ -116,18 +128,25 @@ def _score(k: int, levels: tuple[int, ...]):
                 seed = _exact(q[part], x[first], "qd,qkd->qk")
                 seed = np.where(np.take_along_axis(own, first, 1), np.iinfo(np.int64).min, seed)
                 floor = np.maximum(floor, seed.min(axis=1).astype(float))
-            at_q, at_x = np.nonzero((coarse + slack >= floor[:, None]) & ~own)
+            alive = (coarse + slack >= floor[:, None]) & ~own
             for fine_q, fine_x in features[1:]:
-                bound = np.empty(len(at_q))
-                for b in range(0, len(at_q), CELL_PAIRS // 8):
-                    some = slice(b, b + CELL_PAIRS // 8)
-                    bound[some] = np.einsum("ij,ij->i", fine_q[part][at_q[some]], fine_x[at_x[some]])
-                keep = bound + slack[at_q, 0] >= floor[at_q]
-                at_q, at_x = at_q[keep], at_x[keep]
-            score = np.empty(len(at_q), np.int64)
-            for b in range(0, len(at_q), CELL_PAIRS // 8):
-                some = slice(b, b + CELL_PAIRS // 8)
-                score[some] = _exact(q[part][at_q[some]], x[at_x[some]], "ij,ij->i")
+                # Where many pairs are left, one matrix product of all costs less than to gather each of them.
+                if np.count_nonzero(alive) > DENSE * alive.size:
+                    alive &= fine_q[part] @ fine_x.T + slack >= floor[:, None]
+                    continue
+                at_q, at_x = np.nonzero(alive)
+                bound = _gathered(fine_q[part], fine_x, at_q, at_x, lambda a, b: np.einsum("ij,ij->i", a, b))
+                drop = bound + slack[at_q, 0] < floor[at_q]
+                alive[at_q[drop], at_x[drop]] = False
+            if in_doubles and np.count_nonzero(alive) > DENSE * alive.size:
+                scores = np.where(alive, q_floats[part] @ x_floats.T, -np.inf)
+                if len(x) > k:
+                    floor = np.maximum(floor, np.partition(scores, len(x) - k, axis=1)[:, -k])
+                at_q, at_x = np.nonzero(alive & (scores >= floor[:, None]))
+                score = scores[at_q, at_x].astype(np.int64)
+            else:
+                at_q, at_x = np.nonzero(alive)
+                score = _gathered(q[part], x, at_q, at_x, lambda a, b: _exact(a, b, "ij,ij->i")).astype(np.int64)
             order = np.lexsort((x_ids[at_x], -score, at_q))
             at_q, at_x, score = at_q[order], at_x[order], score[order]
             starts = np.searchsorted(at_q, at_q, side="left")
