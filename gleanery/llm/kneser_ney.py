@@ -30,6 +30,8 @@ from gleanery.session import materialize, work_dir
 
 #: Tokens that a task counts before it hands its counts over.
 FLUSH_TOKENS = 3_000_000
+#: N-grams of a shard that a task merges at a time.
+GRAMS_AT_ONCE = 1 << 19
 #: A word is common from this share of all tokens in a shard of average size on.
 SPREAD = 0.25
 #: Words of the longest n-grams, unless a caller says otherwise.
@@ -305,21 +307,41 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         columns = _columns(table.column("blob"), *["delta"] * n, *(["<u4"] if top else ["<i8"] * 5))
+        passes = -(-max(1, len(columns[0])) // GRAMS_AT_ONCE)
+        # By an inner word, as in shards, so that few n-grams are handed on by several passes.
+        of = _shard(mixed(columns[1 if n > 2 else 0].astype(U) + U(1)), passes).astype("<u4")
+        kept, handed = [], []
+        for number in range(passes):
+            own = of == number if passes > 1 else slice(None)
+            arrays, below = part([c[own] for c in columns])
+            kept.append(arrays)
+            handed.extend(below)
+        columns.clear()
+        keys, small, wide, *columns = (np.concatenate([arrays[i] for arrays in kept]) for i in range(3 + len(STATS)))
+        kept.clear()
+        order = np.argsort(keys, kind="stable")
+        place = order[wide[order]]
+        place = np.searchsorted(np.flatnonzero(wide), place)
+        # Each column as narrow as its largest value allows; the tally tells the bytes.
+        columns = [x[place].astype(f"<u{_width(x)}") for x in columns]
+        once = [(small & (SMALL - 1) == i).sum() for i in (1, 2, 3, 4)]
+        arrays = {"keys": keys[order], "small": small[order], "at": np.flatnonzero(wide[order]).astype("<u4"), **dict(zip(STATS, columns, strict=True))}
+        for name, array in arrays.items():
+            save_array(words.folder, f"{name}{n}-{shard}", array)
+        save_array(words.folder, f"tally{n}-{shard}", np.array(once + [c.itemsize for c in columns], "<i8"))
+        return pa.Table.from_batches(handed)
+
+    def part(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[pa.RecordBatch]]:
+        """(keys, small, wide, the statistics of the wide ones) of some n-grams of a shard, and what they hand on."""
         stats = columns[n:] + [np.zeros(len(columns[n]), np.int64)] * 4 if top else columns[n:]
         keys, grams, stats = _merged([c.astype(U) for c in columns[:n]], stats)
         whole = grams[0] != U(words.distinct + 1)
         shorter = [g[~whole] for g in grams[1:]]
         passed = stats[0][~whole]
         keys, grams, (a, total, *seen) = keys[whole], [g[whole] for g in grams], [x[whole] for x in stats]
-        wide = np.flatnonzero((a >= SMALL) | (total > 1))
+        wide = (a >= SMALL) | (total > 1)
         small = np.minimum(a, SMALL - 1).astype("u1") | (total == 1).astype("u1") << 7
-        # Each column as narrow as its largest value allows; the tally tells the bytes.
-        columns = [x[wide].astype(f"<u{_width(x)}") for x in (a, total, *seen)]
-        arrays = {"keys": keys, "small": small, "at": wide.astype("<u4"), **dict(zip(STATS, columns, strict=True))}
-        for name, array in arrays.items():
-            save_array(words.folder, f"{name}{n}-{shard}", array)
-        tally = [(a == i).sum() for i in (1, 2, 3, 4)] + [c.itemsize for c in columns]
-        save_array(words.folder, f"tally{n}-{shard}", np.array(tally, "<i8"))
+        arrays = [keys, small, wide, *(x[wide] for x in (a, total, *seen))]
         none, one = np.zeros(len(a), np.int64), np.ones(len(a), np.int64)
         grams = [np.concatenate([x, y, z]) for x, y, z in zip(grams[:-1], grams[1:], shorter, strict=True)]
         spare = np.zeros(len(passed), np.int64)
@@ -329,7 +351,7 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
             home = _home(grams, words.shards, spread)
         else:
             home = np.minimum(np.searchsorted(np.asarray(words.starts), below.astype(np.int64), side="right") - 1, words.shards)
-        return pa.Table.from_batches(_dealt(home, words.shards + 1, grams, *stats))
+        return arrays, list(_dealt(home, words.shards + 1, grams, *stats))
 
     return run
 

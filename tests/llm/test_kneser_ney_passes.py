@@ -1,0 +1,45 @@
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from gleanery.llm import kneser_ney
+
+
+def _saved(folder, n_grams, top, order):
+    """The arrays and the rows handed on of one shard of random n-grams, and the most memory that took."""
+    rng = np.random.default_rng(5)
+    distinct = 3000
+    words = kneser_ney.Words(str(folder), 1, (0, distinct), 0)
+    grams = [rng.integers(0, distinct + 2, n_grams).astype(np.uint64) for _ in range(order)]
+    counts = rng.integers(1, 300, n_grams).astype("<u4") if top else [rng.integers(0, 300, n_grams).astype("<i8") for _ in range(5)]
+    rows = list(kneser_ney._dealt(np.zeros(n_grams, int), 1, grams, *([counts] if top else counts)))
+    table = pa.Table.from_batches(rows)
+    del grams, counts, rows
+    tracemalloc.start()
+    out = kneser_ney._save_grams(words, order, top, np.array([distinct], np.uint64))((pa.scalar(0),), table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    handed = {}
+    for shard in set(out["shard"].to_pylist()):
+        columns = kneser_ney._columns(out.filter(pc.equal(out["shard"], shard))["blob"], *["delta"] * (order - 1), *["<i8"] * 5)
+        for row in zip(*(c.tolist() for c in columns), strict=True):
+            gram = (shard, *row[: order - 1])
+            handed[gram] = [a + b for a, b in zip(handed.get(gram, [0] * 5), row[order - 1 :], strict=True)]
+    return {p.name: p.read_bytes() for p in folder.iterdir()}, handed, most
+
+
+def test_shards_are_merged_in_bounded_passes(tmp_path, monkeypatch):
+    """Many passes write and hand on what one does, and a shard's memory is a fraction of what its n-grams take at once."""
+    for order, top in ((4, True), (3, True), (3, False), (2, False)):
+        results = []
+        for at_once in (1 << 40, 20_000):
+            monkeypatch.setattr(kneser_ney, "GRAMS_AT_ONCE", at_once)
+            folder = tmp_path / f"{order}-{top}-{at_once}"
+            folder.mkdir()
+            results.append(_saved(folder, 200_000, top, order))
+        (files, out, whole), (same_files, same_out, passes) = results
+        assert files == same_files
+        assert out == same_out
+        assert passes < 0.6 * whole, (order, top, passes, whole)
