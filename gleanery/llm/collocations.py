@@ -155,17 +155,22 @@ def _suffixes(partition: Partition):
                     held = [_combined(held)]
                     rows = held[0].num_rows
                     if rows > COMBINED // 2:
-                        yield from held[0].to_batches()
-                        held, rows = [], 0
+                        yield from held.pop().to_batches()
+                        rows = 0
+                        # What Arrow keeps for reuse would stay with the worker, beside the next stages.
+                        pa.default_memory_pool().release_unused()
         if held:
             yield from _combined(held).to_batches()
+            held.clear()
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
 def _combined(tables: list[pa.Table]) -> pa.Table:
     names = ["part", "lang", "suffix", "whole"]
-    return pa.concat_tables(tables).group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"]).combine_chunks()
+    # One thread: each would hold groups of its own.
+    return pa.concat_tables(tables).group_by(names, use_threads=False).aggregate([("n", "sum")]).rename_columns([*names, "n"]).combine_chunks()
 
 
 def _of_slice(words: Words, partition: Partition) -> pa.Table:
