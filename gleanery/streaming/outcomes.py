@@ -21,6 +21,8 @@ from gleanery.streaming.telemetry import unlogged
 ACCEPTED, LATE, REPLAY, REJECTED = "accepted", "late", "replay", "rejected"
 LATE_TELEMETRY, REPLAYED_TELEMETRY = "late_telemetry", "replayed_telemetry"
 
+#: Groups that late and rejected responses of a micro-batch pass the state in.
+_ASIDE = 1024
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,25 +47,27 @@ def _first_of_request() -> StatefulProcessor:
         def init(self, handle) -> None:
             self.handle = handle
             self.until = handle.getValueState("until", "until long")
+            self.newest = 0
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            first, known = None, None
+            if key[1] is None:
+                yield from (Row(record=row["record"], again=False) for row in rows)
+                return
+            known, first = self.until.exists(), None
             for row in rows:
-                if row["outcome"] != "accepted":
-                    yield row
-                    continue
-                if known is None:
-                    known = self.until.exists()
+                self.newest = max(self.newest, row["arrived"])
                 if not known and first is None:
                     first = row
                     continue
-                if first is not None and (row["arrived_at"], row["execution_timestamp"]) < (first["arrived_at"], first["execution_timestamp"]):
+                if first is not None and (row["arrived"], row["time"]) < (first["arrived"], first["time"]):
                     first, row = row, first
-                yield Row(**{**row.asDict(), "outcome": "replay"})
+                yield Row(record=row["record"], again=True)
             if first is not None:
-                self.until.update((first["until"],))
-                self.handle.registerTimer(first["until"])
-                yield first
+                # What will be over when the batch ends need not be remembered: whatever comes later arrives later.
+                if first["until"] * 1000 > self.newest:
+                    self.until.update((first["until"],))
+                    self.handle.registerTimer(first["until"])
+                yield Row(record=first["record"], again=False)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
             self.until.clear()
@@ -87,17 +91,33 @@ def response_outcomes(responses: DataFrame, lateness: timedelta = timedelta(hour
     request is accepted twice at the same time, and the state holds the requests of the last ``lateness`` (twice that, where times run ahead).
     Documents and answers are counted before the shuffle by request. ``arrived`` must not fall from one micro-batch to the
     next; by default it is the time of the micro-batch, which a replayed batch keeps.
+
+    A request costs some calls to its state, and a message back whose columns cost each. So a record passes the state as one text, late and rejected
+    ones in groups of many. Newer days come first (``days_back``), so that of a batch over many days only the end is remembered.
     """
     stamped = responses.withColumn("arrived_at", F.current_timestamp() if arrived is None else arrived)
     found = records(measured(stamped, ["arrived_at"]), ["arrived_at"])
     time, at, span = F.col("execution_timestamp"), F.col("arrived_at"), _interval(lateness)
     outcome = F.when(time.isNull() | (time > at + span), REJECTED).when(time < at - span, LATE).otherwise(ACCEPTED)
-    until = F.unix_millis(F.greatest(at, time)) + _millis(lateness) + 1
-    found = found.withColumns({"run_date": F.to_date(time), "until": until, "outcome": outcome}).withWatermark("arrived_at", "0 seconds")
-    outcomes = found.groupBy("request_id", "run_date").transformWithState(
-        statefulProcessor=_first_of_request(), outputStructType=found.schema, outputMode="Append", timeMode="EventTime"
+    found = found.withColumn("outcome", outcome).withWatermark("arrived_at", "0 seconds")
+    times = {c: F.unix_micros(c) for c in ("execution_timestamp", "arrived_at")}
+    own = F.col("outcome") == ACCEPTED
+    asked = found.select(
+        F.when(own, -F.unix_date(F.to_date(time))).otherwise(F.pmod(F.xxhash64("request_id", time, at), F.lit(_ASIDE)).cast("int")).alias("days_back"),
+        F.when(own, F.col("request_id")).alias("request_id"),
+        F.coalesce(times["arrived_at"], F.lit(0)).alias("arrived"),
+        F.coalesce(times["execution_timestamp"], F.lit(0)).alias("time"),
+        (F.unix_millis(F.greatest(at, time)) + _millis(lateness) + 1).alias("until"),
+        F.to_json(F.struct(*[times[c].alias(c) if c in times else F.col(c) for c in found.columns])).alias("record"),
+        "arrived_at",
+    )
+    told = asked.groupBy("days_back", "request_id").transformWithState(
+        statefulProcessor=_first_of_request(), outputStructType="record string, again boolean", outputMode="Append", timeMode="EventTime"
     )
-    return outcomes.drop("until")
+    told = told.select(F.from_json("record", found.withColumns(times).schema, {"maxStringLen": str(2**31 - 1)}).alias("record"), "again")
+    told = told.select("record.*", "again").withColumns({c: F.timestamp_micros(c) for c in times})
+    outcome = F.when(F.col("again"), REPLAY).otherwise(F.col("outcome"))
+    return told.select(*[c for c in found.columns if c != "outcome"], F.to_date("execution_timestamp").alias("run_date"), outcome.alias("outcome"))
 
 
 def route_responses(

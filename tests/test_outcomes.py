@@ -85,6 +85,31 @@ def test_a_crowded_request_has_one_record(routed):
     assert routed.store.read(TELEMETRY).first()["execution_timestamp"] == at(0)
 
 
+def test_a_batch_over_many_days_remembers_its_end(spark, routed):
+    """Requests that are over when their micro-batch ends are never written to the state; copies among them are replays all the same."""
+    days = [response(f"r{n:02}", at(1440 * n), at(1440 * n + 1)) for n in range(40)]
+    accepted, late, replays, rejected = routed(*days, *days[:5], response("late", at(0), at(1440)))
+    assert accepted == [f"r{n:02}" for n in range(40)] and replays == [f"r{n:02}" for n in range(5)] and late == ["late"] and not rejected
+    with rocksdb_state(spark):
+        held = spark.read.format("statestore").option("stateVarName", "until").option("batchId", 0).load(str(routed.base / "cp")).collect()
+    assert "r39" in {r["key"]["request_id"] for r in held} and len(held) <= 4  # the newest day of each partition
+
+
+def test_a_record_passes_the_state_whole(spark, routed):
+    """Microseconds, doubles that no text holds by itself, long and odd strings, and what is null."""
+    odd = 'a "b"\\\n\u2028\U0001f600\x00'
+    docs = [("d", "content", "general", float("nan")), ("e", "content", "general", 1.0)]
+    first = START.replace(microsecond=123_457)
+    rows = [(odd, first, float("-inf"), odd * 1000, docs, "one two", odd, at(1)), ("n", first, None, None, None, None, None, at(1)), ("z", first, -0.0, "", [("d", "", "", 0.1 + 0.2)], "", "", at(1))]
+    routed(*rows, ("l", at(-90), 5e-324, odd, docs, None, None, at(1)))
+    given = spark.createDataFrame(rows, f"{RESPONSE}, arrived timestamp").drop("arrived")
+    expected = derive_telemetry(given)
+    found = routed.store.read(TELEMETRY).select(expected.columns)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    (late,) = routed.store.read(LATE_TELEMETRY).collect()
+    assert late["execution_time_ms"] == 5e-324 and late["user_query"] == odd and late["arrived_at"] == at(1)
+
+
 TIMING = "request_id string, executed_at timestamp, execution_time_ms double"
 
 
