@@ -31,7 +31,9 @@ from gleanery.session import materialize, work_dir
 #: Tokens that a task counts before it hands its counts over.
 FLUSH_TOKENS = 3_000_000
 #: N-grams of a shard that a task merges at a time.
-GRAMS_AT_ONCE = 1 << 19
+GRAMS_AT_ONCE = 1 << 17
+#: Passes' worth of shorter n-grams, in narrow columns, that a task gathers before it hands them on: together they pack better.
+GATHERED = 16
 #: A word is common from this share of all tokens in a shard of average size on.
 SPREAD = 0.25
 #: Words of the longest n-grams, unless a caller says otherwise.
@@ -161,6 +163,7 @@ def _count_words(shards: int):
     def flush(keys: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         words, totals = _summed(np.concatenate(keys), np.concatenate(counts))
         words, totals = words[totals > 0], totals[totals > 0]
+        _give_back()
         return _blobs(_shard(words, shards), shards, words, totals.astype("<i8"))
 
     return run
@@ -286,17 +289,28 @@ def _count_grams(words: Words, order: int, spread: np.ndarray):
         held.clear()
         # Sorted by words, the inner ones first, not by hash: so they pack well.
         first, second, *rest = [*range(1, order - 1), 0, order - 1]
-        key = grams[first].astype(U) << U(32) | grams[second]
-        for i in rest:
-            key = np.unique(key, return_inverse=True)[1]
-            key = key.astype(U) << U(32) | grams[i]
-        _, at, counts = np.unique(key, return_index=True, return_counts=True)
-        grams = [g[at].astype(U) for g in grams]
-        yield from _dealt(_home(grams, words.shards, spread), words.shards, grams, counts.astype("<u4"))
+        key = grams[first].astype(U)
+        for i in (second, *rest):
+            if i != second:
+                key = np.unique(key, return_inverse=True)[1].astype(U, copy=False)
+            key <<= U(32)
+            key |= grams[i]
+        at, counts = np.unique(key, return_index=True, return_counts=True)[1:]
+        del key
+        grams, counts = [g[at] for g in grams], counts.astype("<u4")
+        del at
+        home = [_home([g[i : i + GRAMS_AT_ONCE].astype(U) for g in grams], words.shards, spread) for i in range(0, len(counts), GRAMS_AT_ONCE)]
+        yield from _dealt(np.concatenate(home), words.shards, grams, counts)
+        _give_back()
 
     return run
 
 
+def _give_back() -> None:
+    """What Arrow keeps for reuse would stay with the worker, beside the other workers and the next stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def _width(column: np.ndarray) -> int:
     return np.min_scalar_type(int(column.max()) if len(column) else 0).itemsize
 
@@ -310,12 +324,14 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
         passes = -(-max(1, len(columns[0])) // GRAMS_AT_ONCE)
         # By an inner word, as in shards, so that few n-grams are handed on by several passes.
         of = _shard(mixed(columns[1 if n > 2 else 0].astype(U) + U(1)), passes).astype("<u4")
-        kept, handed = [], []
+        kept, handed, held = [], [], []
         for number in range(passes):
-            own = of == number if passes > 1 else slice(None)
+            own = np.flatnonzero(of == number) if passes > 1 else slice(None)
             arrays, below = part([c[own] for c in columns])
             kept.append(arrays)
-            handed.extend(below)
+            held.append(below)
+            if number + 1 == passes or sum(len(h[0]) for h in held) >= GATHERED * GRAMS_AT_ONCE:
+                handed.extend(hand_on(held))
         columns.clear()
         keys, small, wide, *columns = (np.concatenate([arrays[i] for arrays in kept]) for i in range(3 + len(STATS)))
         kept.clear()
@@ -329,10 +345,11 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
         for name, array in arrays.items():
             save_array(words.folder, f"{name}{n}-{shard}", array)
         save_array(words.folder, f"tally{n}-{shard}", np.array(once + [c.itemsize for c in columns], "<i8"))
-        return pa.Table.from_batches(handed)
+        _give_back()
+        return pa.Table.from_batches(handed, pa.schema([("shard", pa.int32()), ("blob", pa.binary())]))
 
-    def part(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[pa.RecordBatch]]:
-        """(keys, small, wide, the statistics of the wide ones) of some n-grams of a shard, and what they hand on."""
+    def part(columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(keys, small, wide, the statistics of the wide ones) of some n-grams of a shard, and the columns that they hand on."""
         stats = columns[n:] + [np.zeros(len(columns[n]), np.int64)] * 4 if top else columns[n:]
         keys, grams, stats = _merged([c.astype(U) for c in columns[:n]], stats)
         whole = grams[0] != U(words.distinct + 1)
@@ -346,12 +363,27 @@ def _save_grams(words: Words, n: int, top: bool, spread: np.ndarray):
         grams = [np.concatenate([x, y, z]) for x, y, z in zip(grams[:-1], grams[1:], shorter, strict=True)]
         spare = np.zeros(len(passed), np.int64)
         after = [np.concatenate([x, none, spare]) for x in (a, a == 1, a == 2, a > 2)]
-        below, grams, stats = _merged(grams, [np.concatenate([none, one, passed]), *after])
+        _, grams, stats = _merged(grams, [np.concatenate([none, one, passed]), *after])
+        return arrays, [*(g.astype("<u4") for g in grams), *(x.astype(f"<u{_width(x)}") for x in stats)]
+
+    def hand_on(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate([h[i] for h in held]) for i in range(n - 1 + len(STATS))]
+        held.clear()
         if n > 2:
-            home = _home(grams, words.shards, spread)
+            parts = range(0, len(columns[0]), GRAMS_AT_ONCE)
+            home = np.concatenate([_home([c[i : i + GRAMS_AT_ONCE].astype(U) for c in columns[: n - 1]], words.shards, spread) for i in parts] or [np.empty(0, np.int64)])
         else:
-            home = np.minimum(np.searchsorted(np.asarray(words.starts), below.astype(np.int64), side="right") - 1, words.shards)
-        return arrays, list(_dealt(home, words.shards + 1, grams, *stats))
+            home = np.minimum(np.searchsorted(np.asarray(words.starts), columns[0], side="right") - 1, words.shards)
+        order = np.argsort(home, kind="stable")
+        edges = np.searchsorted(home[order], np.arange(words.shards + 2))
+        for s in range(words.shards + 1):
+            own = order[edges[s] : edges[s + 1]]
+            if len(own) > GRAMS_AT_ONCE:
+                own = own[np.argsort(_keys([c[own].astype(U) for c in columns[: n - 1]]), kind="stable")]
+            for i in range(0, len(own), GRAMS_AT_ONCE):
+                some = own[i : i + GRAMS_AT_ONCE]
+                _, grams, stats = _merged([c[some].astype(U) for c in columns[: n - 1]], [c[some] for c in columns[n - 1 :]])
+                yield from _dealt(np.full(len(stats[0]), s), words.shards + 1, grams, *stats)
 
     return run
 
