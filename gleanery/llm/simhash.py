@@ -99,10 +99,11 @@ def links(prints: DataFrame) -> DataFrame:
     at = ["place", "value"]
     # Counted first, combined ahead of the shuffle: what stands alone, nearly all of it, goes no further.
     shared = variants.groupBy(*at).agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(variants.join(shared, at), "variants-met")
+    # Both sides are taken for as small as the fingerprints, though either has up to 64 rows for each of them: neither may be broadcast.
+    met = materialize(variants.hint("merge").join(shared.hint("merge"), at), "variants-met")
 
     few = met.where(F.col("n") <= CROWDED)
-    x, y = (few.select(*at, F.col("fingerprint").alias(c)) for c in ("a", "b"))
+    x, y = (few.select(*at, F.col("fingerprint").alias(c)).hint("merge") for c in ("a", "b"))
     pairs = x.join(y, at).where((F.col("a") < F.col("b")) & (_differing(F.col("a"), F.col("b")) <= LIMIT) & _first_meeting())
     crowd = met.where(F.col("n") > CROWDED).select("fingerprint").distinct()
     # Every choice of LIMIT ascending wildcards.

@@ -94,3 +94,19 @@ def test_null_keys_repeats_and_empty_tables(spark):
     found = sorted(((r["doc_id"], r["component_id"]) for r in simhash.grouped(rows).collect()), key=repr)
     assert found == sorted([(None, 4), (5, 4), (5, 5), (None, None), (4, 4)], key=repr)
     assert simhash.grouped(rows.limit(0)).collect() == []
+
+
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """Spark takes 64 variants of a fingerprint for as small as the fingerprint itself."""
+    written = {}
+    kept = simhash.materialize
+
+    def spied(df, purpose):
+        written[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, purpose)
+
+    monkeypatch.setattr(simhash, "materialize", spied)
+    pairs = simhash.links(spark.createDataFrame([(0,), (1,), (3,), (1 << 40,)], "fingerprint long"))
+    assert pairs.count() >= 4
+    for purpose in ("variants-met", "print-links"):
+        assert "Broadcast" not in written[purpose], written[purpose]
